@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -67,6 +69,25 @@ select concat('G',lpad(cast(c_custkey as string),6,'0')) as global_id,
  (c_acctbal-4500)/3200 as theta_rasch,
  case when c_custkey % 29 = 5 then null else 9*(c_acctbal-4500)/32000 + cast((c_custkey*37)%101 as double)/500 end as theta_2pl,
  (c_acctbal-4500)/4000 - cast((c_custkey*53)%97 as double)/400 as theta_bif from customer""",
+        # a completed review: all decisions, unknown and missing ids, repeated cases
+        "fx_review": f"""
+select doc_id as audit_row, source as source_name, concat('q', cast(n_chars % 500 as string)) as question_id,
+ case when doc_id % 11 = 0 then null else {_DOMAIN.format(k='doc_id')} end as domainId, concat(lang, ' ', source) as source_stem,
+ case when doc_id % 9 = 0 then '' when doc_id % 9 = 1 then null
+  else concat(' Q', lpad(cast(doc_id % 45 + 1 as string),3,'0'), {_CODE.format(k='(doc_id % 45)')}, cast(cast(floor((doc_id % 45 + 6)/6.0) as int) as string)) end as human_final_qid,
+ case doc_id % 5 when 0 then 'accept' when 1 then ' Reject ' when 2 then 'REVISE' when 3 then null else 'Accept' end as human_final_decision,
+ 'done ' as audit_status from documents""",
+        # two cohorts: every respondent, and copies of the umgc ones with some blanks filled
+        "fx_cohorts": """
+select global_id, trim(source_id) as source_id, 'main' as cohort, age, gender, transfer from fx_respondent
+ union all select concat('T',substr(global_id,2)), trim(source_id), 'trial', coalesce(age,99), coalesce(gender,'U'), transfer from fx_respondent where college = 'umgc'""",
+        # every answer twice, under the main and the trial id
+        "fx_double_response": """
+select global_id, QID, response from fx_response
+ union all select concat('T',substr(global_id,2)), QID, response from fx_response""",
+        # legacy ids of half the items
+        "fx_legacy": """
+select QID as legacy_QID, concat(QID,'x') as QID from fx_params where a > 1.2""",
     }
 
 
@@ -78,6 +99,9 @@ def spark_views(spark: SparkSession, sf_dir: str) -> None:
         spark.sql(sql).createOrReplaceTempView(name)
 
 
+_VIEW_NAMES = frozenset(view_sql("spark"))
+
+
 class Fixtures:
     """The views as DataFrames."""
 
@@ -87,22 +111,81 @@ class Fixtures:
 
     def __getattr__(self, name: str) -> DataFrame:
         prefixed = f"fx_{name}"
-        if prefixed in view_sql("spark"):
+        if prefixed in _VIEW_NAMES:
             return self.spark.table(prefixed)
         if name in TABLES:
             return self.spark.table(name)
         raise AttributeError(name)
 
 
+# Views only the oracle needs: results of one operator that feed another one's SQL.
+ORACLE_VIEWS = {
+    "or_counts": " union all ".join(
+        f"select QID, '{d}' as demographic, {d} as group_value, count(*) as n_responded "
+        "from fx_response join fx_respondent using (global_id) group by all"
+        for d in ("college", "wave", "gender", "ethnicity", "military", "pell")
+    ),
+    "or_items": """select QID, count(response) as n_responded, sum(case when response=0 then 1 else 0 end) as n_wrong,
+ sum(case when response=1 then 1 else 0 end) as n_correct, avg(case when response=1 then 1.0 else 0.0 end) as prop_correct,
+ avg(case when response=0 then 1.0 else 0.0 end) as prop_wrong from fx_response group by QID""",
+    "or_lookup": """select QID, nullif(regexp_extract(QID,'[0-9]+$'),'') as testlet, nullif(regexp_extract(QID,'^Q[0-9]{3}([A-Za-z]+)[0-9]+$',1),'') as domain_code,
+ case regexp_extract(QID,'^Q[0-9]{3}([A-Za-z]+)[0-9]+$',1) when 's' then 'structure' when 'in' then 'inference' when 'id' then 'ideas' when 'p' then 'purpose' when 'l' then 'language' end as domain,
+ case regexp_extract(QID,'^Q[0-9]{3}([A-Za-z]+)[0-9]+$',1) when 's' then 'summary_synthesis' when 'in' then 'inference' when 'id' then 'identifying_details' when 'p' then 'purpose_point_of_view' when 'l' then 'language_vocabulary' end as domain_a
+ from (select distinct QID from fx_response) q""",
+    "or_metrics": """select l.QID, l.domain_a as domain, o.overall_n, g.min_dif_n, f.min_factor_n from or_lookup l
+ left join (select QID, max(n) as overall_n from (select QID, demographic, sum(n_responded)::bigint as n from or_counts group by all) t group by QID) o using (QID)
+ left join (select QID, min(n_responded) as min_dif_n from or_counts where demographic in ('gender','military') and group_value is not null and group_value not in ('NA','') group by QID) g using (QID)
+ left join (select QID, min(n_responded) as min_factor_n from or_counts where group_value is not null and group_value not in ('NA','') group by QID) f using (QID)""",
+    "or_diag": """select l.QID, l.testlet, l.domain_code, l.domain, c.n_responded, c.prop_correct, p.a, p.b,
+ coalesce(p.a < 0.8, false) as flag_low_a, coalesce(p.a > 1.7, false) as flag_high_a, coalesce(p.b < -1.4 or p.b > 1.4, false) as flag_extreme_b,
+ coalesce(c.n_responded < 200, false) as flag_low_n, coalesce(c.prop_correct < 0.3 or c.prop_correct > 0.8, false) as flag_poor_p
+ from or_lookup l left join or_items c using (QID) left join fx_params p using (QID)""",
+    "or_flags": """select *, flag_low_a::int + flag_high_a::int + flag_extreme_b::int + flag_low_n::int + flag_poor_p::int as n_flags,
+ (flag_low_a or flag_high_a or flag_extreme_b or flag_low_n or flag_poor_p) as trim_candidate from or_diag""",
+    "or_cases": """select row_number() over (order by source_name, question_id) as audit_row, * from fx_template""",
+    "or_pool": """select * from (select c.audit_row, c.source_name, c.question_id, c.domainId, c.stem as source_stem,
+  case when b.QID is not null then row_number() over (partition by c.audit_row order by jaro_similarity(lower(nullif(c.stem,'')), lower(b.stem)) desc nulls last, levenshtein(lower(nullif(c.stem,'')), lower(b.stem)) asc nulls last, b.QID) end as candidate_rank,
+  b.QID as candidate_QID, b.domain as candidate_domain, b.stem as candidate_stem,
+  jaro_similarity(lower(nullif(c.stem,'')), lower(b.stem)) as similarity_jw, levenshtein(lower(nullif(c.stem,'')), lower(b.stem)) as distance_lv
+ from or_cases c left join fx_bank b on c.domainId is null or c.domainId = '' or lower(c.domainId) = lower(b.domain)) x
+ where candidate_rank <= 5 or candidate_rank is null""",
+    "or_review": """select * exclude (human_final_qid, human_final_decision, audit_status), nullif(trim(human_final_qid),'') as human_final_qid,
+ nullif(lower(trim(human_final_decision)),'') as human_final_decision, trim(audit_status) as audit_status from fx_review""",
+    "or_patches": """select source_name, question_id, domainId, source_stem as stem, human_final_qid as approved_QID, 'llm_human_review' as approval_source, human_final_decision
+ from (select *, row_number() over (partition by source_name, question_id order by audit_row) as rn from or_review
+  where human_final_decision in ('accept','revise') and human_final_qid in (select QID from fx_bank)) t where rn = 1""",
+    "or_numbers": """select * exclude (transfer), try_cast(transfer as double) as transfer from fx_respondent""",
+    "or_compare": """select *, theta_rasch-theta_2pl as diff_rasch_2pl, abs(theta_rasch-theta_2pl) as absdiff_rasch_2pl, (theta_rasch+theta_2pl)/2 as avg_rasch_2pl,
+ theta_rasch-theta_bif as diff_rasch_bif, abs(theta_rasch-theta_bif) as absdiff_rasch_bif, (theta_rasch+theta_bif)/2 as avg_rasch_bif,
+ theta_2pl-theta_bif as diff_2pl_bif, abs(theta_2pl-theta_bif) as absdiff_2pl_bif, (theta_2pl+theta_bif)/2 as avg_2pl_bif
+ from or_numbers left join fx_scores using (global_id)""",
+    "or_nodes": """select i as node, -6 + 0.2*i as theta, -0.5*power(-6+0.2*i,2) - ln(sum(exp(-0.5*power(-6+0.2*i,2))) over ()) as lw from range(61) t(i)""",
+    "or_ll": """select r.global_id, n.node, any_value(n.theta) as theta, any_value(n.lw) + sum(case when response=1 then -ln(1+exp(-p.a*(n.theta-p.b))) else -ln(1+exp(p.a*(n.theta-p.b))) end) as l
+ from fx_response r join fx_params p using (QID) cross join or_nodes n group by r.global_id, n.node""",
+    "or_post": """select global_id, node, theta, exp(l - m) / sum(exp(l - m)) over (partition by global_id) as w, m + ln(sum(exp(l - m)) over (partition by global_id)) as lm
+ from (select *, max(l) over (partition by global_id) as m from or_ll) t""",
+    "or_ll_rasch": """select r.global_id, n.node, any_value(n.theta) as theta, any_value(n.lw) + sum(case when response=1 then -ln(1+exp(-(n.theta-p.b))) else -ln(1+exp(n.theta-p.b)) end) as l
+ from fx_response r join fx_params p using (QID) cross join or_nodes n group by r.global_id, n.node""",
+    "or_fit": """select 'rasch' as model, 180 as n_items, 181 as npar, count(*) as n_respondents, sum(lm) as logLik from (select global_id, max(l) + ln(sum(exp(l - m))) as lm from (select *, max(l) over (partition by global_id) as m from or_ll_rasch) t group by global_id) u
+ union all select '2pl', 180, 360, count(*), sum(lm) from (select global_id, any_value(lm) as lm from or_post group by global_id) v""",
+}
+
+
 def with_views(sql: str, *names: str) -> str:
     """Oracle text: the named views (and those they use) as common table expressions."""
-    all_views = view_sql("duckdb")
-    needed = set(names)
+    all_views = {**view_sql("duckdb"), **ORACLE_VIEWS}
+    needed = set(names) | {v for v in all_views if v in sql.replace(",", " ").replace("(", " ").replace(")", " ").split()}
     for name in reversed(list(all_views)):
         if name in needed:
-            needed |= {o for o in all_views if o != name and o in all_views[name]}
+            needed |= {o for o in all_views if o != name and _uses(all_views[name], o)}
     parts = [f"{n} as ({all_views[n]})" for n in all_views if n in needed]
     body = sql.strip()
+    if not parts:
+        return body
     if body.lower().startswith("with "):
         return "with " + ",\n".join(parts) + ",\n" + body[5:]
     return "with " + ",\n".join(parts) + "\n" + body
+
+
+def _uses(text: str, view: str) -> bool:
+    return re.search(rf"\b{view}\b", text) is not None

@@ -83,15 +83,15 @@ def prepare(resp: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
 
 def collect_sums(packed: DataFrame, state: ModelState):
     """One E-step, collected as items x nodes tables plus (logLik, respondents, sum E[theta^2])."""
-    table = expected_sums(packed, state).toPandas()
-    item, node = table["item"].to_numpy(), table["node"].to_numpy()
+    table = expected_sums(packed, state).toArrow()
+    item, node, n_sum, r_sum = (table[c].to_numpy() for c in ("item", "node", "n", "r"))
     shape = (len(state.items), len(state.grid.design()))
     n, r = np.zeros(shape), np.zeros(shape)
     body = item >= 0
-    n[item[body], node[body]] = table["n"].to_numpy()[body]
-    r[item[body], node[body]] = table["r"].to_numpy()[body]
-    tail = table[~body].set_index("node")
-    return n, r, float(tail.loc[0, "n"]), int(round(tail.loc[0, "r"])), float(tail.loc[1, "n"])
+    n[item[body], node[body]] = n_sum[body]
+    r[item[body], node[body]] = r_sum[body]
+    total, second = (~body & (node == k) for k in (0, 1))
+    return n, r, float(n_sum[total].sum()), int(round(r_sum[total].sum())), float(n_sum[second].sum())
 
 
 def fit_irt(
