@@ -375,7 +375,8 @@ def student_timing(fx):
 
 @query("select event_id, user_id, round((epoch_us(ts)-epoch_us(lag(ts) over (partition by user_id order by ts)))/1e6,6) as step_seconds from events")
 def item_timing(fx):
-    return dedupe.item_timing(fx.events.select("event_id", "user_id", "ts"), "user_id", "ts")
+    timed = dedupe.item_timing(fx.events.select("event_id", "user_id", "ts"), "user_id", "ts")
+    return timed.select("event_id", "user_id", "step_seconds")
 
 
 @query("select user_id, event_type, round(value,6) as value, event_id from (select *, row_number() over (partition by user_id, cast(ts as date), event_type order by ts, event_id) as rn from events) t where rn = 1")

@@ -126,7 +126,7 @@ _GRID = "(select i as {0}, -4.5+0.45*i as {0}v, -0.5*power(-4.5+0.45*i,2) - ln(s
   from fx_response r join fx_params p using (QID) join or_lookup l using (QID) cross join {_GRID.format('g')} g cross join {_GRID.format('u')} u group by 1,2,3,4),
  tl as (select global_id, testlet, g, any_value(gv) as gv, ln(sum(exp(l))) as l from cell group by 1,2,3),
  pg as (select global_id, g, any_value(gv) as gv, sum(l) as l from tl group by 1,2),
- w as (select global_id, gv, l + gw as l from pg join {_GRID.format('g')} x using (g)),
+ w as (select global_id, pg.gv, l + gw as l from pg join {_GRID.format('g')} x using (g)),
  n as (select global_id, gv, exp(l - max(l) over (partition by global_id)) as e from w)
  select global_id, round(sum(e*gv)/sum(e),6)+0.0 as theta, round(sqrt(sum(e*gv*gv)/sum(e) - power(sum(e*gv)/sum(e),2)),6) as SE_theta from n group by global_id""")
 def score_eap_bifactor(fx):

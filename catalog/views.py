@@ -66,9 +66,9 @@ select QID, cast(3 + (k-1) % 7 as double) / 5 as a, cast((k-1)*37 % 180 - 90 as
         # three score columns per respondent with some missing
         "fx_scores": """
 select concat('G',lpad(cast(c_custkey as string),6,'0')) as global_id,
- (c_acctbal-4500)/3200 as theta_rasch,
- case when c_custkey % 29 = 5 then null else 9*(c_acctbal-4500)/32000 + cast((c_custkey*37)%101 as double)/500 end as theta_2pl,
- (c_acctbal-4500)/4000 - cast((c_custkey*53)%97 as double)/400 as theta_bif from customer""",
+ (c_acctbal-4500)/3217 as theta_rasch,
+ case when c_custkey % 29 = 5 then null else 9*(c_acctbal-4500)/32009 + cast((c_custkey*37)%101 as double)/503 end as theta_2pl,
+ (c_acctbal-4500)/4003 - cast((c_custkey*53)%97 as double)/401 as theta_bif from customer""",
         # a completed review: all decisions, unknown and missing ids, repeated cases
         "fx_review": f"""
 select doc_id as audit_row, source as source_name, concat('q', cast(n_chars % 500 as string)) as question_id,
@@ -91,32 +91,38 @@ select QID as legacy_QID, concat(QID,'x') as QID from fx_params where a > 1.2"""
     }
 
 
-def spark_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register the given tables and the views of this folder in the session."""
-    for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    for name, sql in view_sql("spark").items():
-        spark.sql(sql).createOrReplaceTempView(name)
-
-
-_VIEW_NAMES = frozenset(view_sql("spark"))
+_VIEW_SQL = view_sql("spark")
+_OPENED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Fixtures:
-    """The views as DataFrames."""
+    """The given tables and the views as DataFrames, opened when first used."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        spark_views(spark, sf_dir)
         self.spark = spark
+        self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        prefixed = f"fx_{name}"
-        if prefixed in _VIEW_NAMES:
-            return self.spark.table(prefixed)
         if name in TABLES:
-            return self.spark.table(name)
+            return self._open(name)
+        if f"fx_{name}" in _VIEW_SQL:
+            return self._open(f"fx_{name}")
         raise AttributeError(name)
 
+    def _open(self, name: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _OPENED:
+            if name in TABLES:
+                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            else:
+                sql = _VIEW_SQL[name]
+                for used in (*TABLES, *_VIEW_SQL):
+                    if used != name and _uses(sql, used):
+                        self._open(used).createOrReplaceTempView(used)
+                df = self.spark.sql(sql)
+            _OPENED[key] = df
+        return _OPENED[key]
+
 
 # Views only the oracle needs: results of one operator that feed another one's SQL.
 ORACLE_VIEWS = {

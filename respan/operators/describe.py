@@ -121,9 +121,9 @@ def by_group(df: DataFrame, group_vars: Sequence[str], measures: dict[str, str])
 # ---- plot data -----------------------------------------------------------
 
 def _bucket(v: Column, lo: Column, hi: Column, bins: int) -> Column:
-    return F.when(v.isNotNull() & (lo == hi), F.lit(1)).otherwise(
-        F.least(F.width_bucket(v, lo, hi, F.lit(bins)).cast("int"), F.lit(bins))
-    )
+    # `least` skips nulls, so a missing value needs its own branch
+    inside = F.least(F.width_bucket(v, lo, hi, F.lit(bins)).cast("int"), F.lit(bins))
+    return F.when(v.isNull(), F.lit(None).cast("int")).when(lo == hi, F.lit(1)).otherwise(inside)
 
 
 def _ends(df: DataFrame, *cols: str) -> list[tuple[Column, Column]]:

@@ -23,7 +23,7 @@ REVIEW_COLUMNS = (
     "llm_suggested_qid", "llm_confidence", "llm_rationale", "human_final_decision", "human_final_qid",
 )
 
-PROBE_BLOCK = 256  # stems per probe block
+PROBE_BLOCK = 64  # stems per probe block
 BANK_BLOCK = 1_000  # items per bank block
 BROADCAST_CHARS = 32_000_000  # bank text up to this size is broadcast
 

@@ -34,7 +34,7 @@ def exact_quantiles(
 
     def sketch(sign: int):
         at = [min(max(p + sign * margin, 0.0), 1.0) for p in ps]
-        return F.percentile_approx("_v", [F.lit(a) for a in at], F.lit(SKETCH_ACCURACY))
+        return F.percentile_approx("_v", at, SKETCH_ACCURACY)
 
     keyed = keys or ["_all"]
     if not keys:

@@ -59,8 +59,9 @@ def write_table(
 ) -> str:
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        # quote every text field, so an empty string and a null stay different
+        # quote every field, so an empty string and a null stay different, and keep outer spaces
         writer = writer.option("header", True).option("nullValue", "NA").option("escape", '"').option("quoteAll", True)
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -41,12 +41,16 @@ def key(row):
 def compare(df, con, sql):
     """None when equal, else a description."""
     cols = sorted(df.columns)
+    t0 = time.time()
     mine = sorted(([norm(x) for x in r] for r in df.select(*[f"`{c}`" for c in cols]).collect()), key=key)
+    t1 = time.time()
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     if sorted(names) != cols:
         return f"columns {cols} vs {sorted(names)}"
     order = [names.index(c) for c in cols]
+    if os.environ.get("TIMES"):
+        print(f"   spark {t1 - t0:.1f}s duckdb {time.time() - t1:.1f}s")
     theirs = sorted(([norm(r[i]) for i in order] for r in cur.fetchall()), key=key)
     if len(mine) != len(theirs):
         return f"rows {len(mine)} vs {len(theirs)}; {mine[:2]} vs {theirs[:2]}"
@@ -83,7 +87,6 @@ def main():
         try:
             df = fn(spark, d)
             if name in oracles:
-                t0 = time.time()
                 problem = compare(df, con, oracles[name])
             else:
                 problem = None if df.count() > 0 else "no rows"
