@@ -25,16 +25,17 @@ def diagnostics(fx):
     return diagnose(item_lookup(fx.params), counts, fx.params.select("QID", "a", "b"), LIMITS)
 
 
-def fixed_models(fx):
-    """Rasch and 2PL with the true parameters of the fixture."""
-    rasch = fx.params.withColumn("a", F.lit(1.0)).select("QID", "a", "b")
-    return {"rasch": irt.state_from_params(rasch), "2pl": irt.state_from_params(fx.params.select("QID", "a", "b"))}
+def fixed_model(fx, kind="2pl"):
+    """Rasch or 2PL with the true parameters of the fixture."""
+    a = F.lit(1.0) if kind == "rasch" else F.col("a")
+    return irt.state_from_params(fx.params.select("QID", a.alias("a"), "b"))
 
 
 def fixed_fit(fx):
     """Fit rows of the fixed models (npar as in a free fit)."""
     out = []
-    for name, state in fixed_models(fx).items():
+    for name in ("rasch", "2pl"):
+        state = fixed_model(fx, name)
         n = len(state.items)
         npar = n + 1 if name == "rasch" else 2 * n
         out.append(
@@ -94,7 +95,7 @@ def fit_2pl_params(fx):
 
 @query("""select p.QID, n.node::int as node, round(sum(w),6) as n, round(sum(w*response),6) as r from or_post p0 join fx_response p using (global_id) join or_nodes n on n.node = p0.node group by p.QID, n.node""")
 def e_step(fx):
-    return irt.e_step(fx.response, fixed_models(fx)["2pl"])
+    return irt.e_step(fx.response, fixed_model(fx))
 
 
 @query("""with l as (select testlet::int as testlet, QID from or_lookup) select testlet as factor, testlet, list(rn order by rn) as item_indices, count(*) as n_items
@@ -110,12 +111,12 @@ def factor_blocks(fx):
 
 @query("select global_id, round(sum(w*theta),6)+0.0 as theta, round(sqrt(sum(w*theta*theta)-power(sum(w*theta),2)),6) as SE_theta from or_post group by global_id")
 def score_eap(fx):
-    return irt.score_eap(fx.response, fixed_models(fx)["2pl"])
+    return irt.score_eap(fx.response, fixed_model(fx))
 
 
 @query("select global_id, round(any_value(lm),6) as log_marginal from or_post group by global_id")
 def log_marginal(fx):
-    return irt.posteriors(fx.response, fixed_models(fx)["2pl"]).select("global_id", "log_marginal")
+    return irt.posteriors(fx.response, fixed_model(fx)).select("global_id", "log_marginal")
 
 
 _GRID = "(select i as {0}, -4.5+0.45*i as {0}v, -0.5*power(-4.5+0.45*i,2) - ln(sum(exp(-0.5*power(-4.5+0.45*i,2))) over ()) as {0}w from range(21) t(i))"
@@ -135,7 +136,7 @@ def score_eap_bifactor(fx):
 
 @query("select QID, round(a,6) as a, round(-(-a*b)/a,6)+0.0 as b, round(-a*b,6)+0.0 as d from fx_params")
 def item_params(fx):
-    state = fixed_models(fx)["2pl"]
+    state = fixed_model(fx)
     return irt.params_table(fx.spark, state).select("QID", "a", "b", "d")
 
 
@@ -164,7 +165,7 @@ def item_pair_margins(fx):
 @query()
 def m2_stats(fx):
     """The fixture is sparse, so the statistics are null and the reason says why."""
-    return m2(fx.response, fixed_models(fx)["2pl"])
+    return m2(fx.response, fixed_model(fx))
 
 
 @query()

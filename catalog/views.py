@@ -39,14 +39,14 @@ select concat('G',lpad(cast(c_custkey as string),6,'0')) as global_id, concat('
         "fx_response": f"""
 select concat('G',lpad(cast(sid as string),6,'0')) as global_id,
  concat('Q',lpad(cast(k as string),3,'0'),{_CODE.format(k='k')},cast(tl as string)) as QID,
- case when min(u) < 1.0/(1.0+exp(-(0.6+((k-1)%7)*0.2)*(min(theta)+min(eff)-(((k-1)*37%180)/60.0-1.5)))) then 1 else 0 end as response
+ case when min(u) < 1.0e0/(1.0e0+exp(-(0.6e0+((k-1)%7)*0.2e0)*(min(theta)+min(eff)-(((k-1)*37%180)/60.0e0-1.5e0)))) then 1 else 0 end as response
 from (select sid, tl, (tl-1)*6+1+slot as k, u, theta,
-  1.2*(2.0*((sid*tl*7919+sid*31+tl*1013)%1009)/1008.0-1.0) as eff
+  1.2e0*(2.0e0*((sid*tl*7919+sid*31+tl*1013)%1009)/1008.0e0-1.0e0) as eff
  from (select o_custkey as sid,
    case when l_partkey % 10 < 3 then 1+l_partkey%3 else 4+(o_custkey*7+l_partkey%9)%27 end as tl,
    (l_suppkey*5+l_orderkey)%6 as slot,
-   ((l_orderkey*7919+l_linenumber*104729+l_partkey*1299709)%10007)/10007.0 as u,
-   (c_acctbal-4500.0)/3200.0 as theta
+   ((l_orderkey*7919+l_linenumber*104729+l_partkey*1299709)%10007)/10007.0e0 as u,
+   (c_acctbal-4500.0e0)/3200.0e0 as theta
   from lineitem join orders on l_orderkey=o_orderkey join customer on o_custkey=c_custkey) x) y
 group by sid, tl, k""",
         "fx_bank": f"""

@@ -55,12 +55,13 @@ testlet.__test__ = False  # not a pytest case
 
 
 def recode(col: Column, mapping: dict[str, str], otherwise: Column | None = None) -> Column:
-    """Multi-branch recode; values outside the mapping become ``otherwise`` or null."""
-    out = None
-    for key, value in mapping.items():
-        hit = col == F.lit(key)
-        out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
-    return out if otherwise is None else out.otherwise(otherwise)
+    """Multi-branch recode; values outside the mapping become ``otherwise`` or null.
+
+    A literal map evaluates ``col`` once, where a chain of branches would repeat it.
+    """
+    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    out = F.try_element_at(table, col)
+    return out if otherwise is None else F.coalesce(out, otherwise)
 
 
 def domain_label(code: Column, labels: str = "b") -> Column:

@@ -36,7 +36,7 @@ def pack_responses(resp: DataFrame, items: list[str], key: str = "global_id") ->
     explicit partition number keeps small tables parallel.
     """
     spark = resp.sparkSession
-    index = spark.createDataFrame([(q, i) for i, q in enumerate(items)], "QID string, _i int")
+    index = spark.createDataFrame(pa.table({"QID": items, "_i": pa.array(range(len(items)), pa.int32())}))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     indexed = unique_responses(resp, key).join(F.broadcast(index), "QID")  # at most MAX_ITEMS rows
     cells = F.collect_list(F.struct(F.col("_i").alias("i"), F.col("response").cast("byte").alias("y")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from respan.functions.columns import clean_text, paste_cols
-from respan.functions.text import char_positions, jaro
+from respan.functions.text import JaroIndex
 from respan.operators.quality import APPROVED, DECISIONS
 from respan.operators.rows import distinct_first, filter_in, project_tolerant, stack
 
@@ -57,7 +57,7 @@ def add_review_shell(df: DataFrame) -> DataFrame:
 # ---- candidates ----------------------------------------------------------
 
 class _BankBlock:
-    """A bounded piece of the bank inside a task: texts indexed by domain.
+    """A bounded piece of the bank inside a task, indexed by domain.
 
     Equal (domain, text) pairs are compared once; they keep their k least ids.
     """
@@ -66,26 +66,18 @@ class _BankBlock:
         grouped: dict[tuple, list] = {}
         for it in items:
             domain = (it["domain"] or "").lower()
-            grouped.setdefault((domain, (it["stem"] or "").lower()), []).append(
-                (it["QID"], it["domain"], it["stem"])
-            )
+            row = (it["QID"], it["domain"], it["stem"])
+            grouped.setdefault((domain, (it["stem"] or "").lower()), []).append(row)
         self.k = k
-        self.domains = [d for d, _ in grouped]
-        self.texts = [t for _, t in grouped]
+        self.keys = list(grouped)
         self.rows = [heapq.nsmallest(k, rows, key=lambda r: r[0]) for rows in grouped.values()]
-        self.members: dict[str | None, np.ndarray] = {None: np.arange(len(self.texts))}
-        for d in set(self.domains):
-            self.members[d] = np.array([i for i, x in enumerate(self.domains) if x == d])
-        alphabet = sorted(set("".join(self.texts)))
-        self.column = {ch: j for j, ch in enumerate(alphabet)}
-        self.bags = np.zeros((len(self.texts), len(alphabet) + 1), dtype=np.int32)
-        for i, t in enumerate(self.texts):
-            for ch in t:
-                self.bags[i, self.column[ch]] += 1
-        self.lengths = np.maximum(np.array([len(t) for t in self.texts], dtype=np.float64), 1.0)
+        self.members: dict[str | None, list[int]] = {None: list(range(len(self.keys)))}
+        for i, (domain, _) in enumerate(self.keys):
+            self.members.setdefault(domain, []).append(i)
+        self.index: dict[str | None, JaroIndex] = {}
 
     def best(self, domain: str | None, stem: str | None) -> Iterator[tuple]:
-        """(QID, domain, stem, similarity) of at least the k best, all ties at the border included."""
+        """(QID, domain, stem, similarity) of the k best, with all ties at the border."""
         members = self.members.get(domain)
         if members is None:
             return
@@ -94,32 +86,15 @@ class _BankBlock:
             for row in heapq.nsmallest(self.k, ids, key=lambda r: r[0]):
                 yield (*row, None)
             return
-        # No pair can match more characters than its letter counts share, which bounds the
-        # similarity from above; candidates are tried from the highest bound down.
-        bag = np.zeros(self.bags.shape[1], dtype=np.int32)
-        for ch in stem:
-            bag[self.column.get(ch, -1)] += 1
-        bag[-1] = 0
-        shared = np.minimum(self.bags[members], bag).sum(axis=1)
-        bound = np.where(shared > 0, (shared / len(stem) + shared / self.lengths[members] + 1.0) / 3.0, 0.0)
-        positions = char_positions(stem)
-        top: list[float] = []
-        scored: list[tuple[float, int]] = []
-        for at in np.argsort(-bound, kind="stable"):
-            if len(top) == self.k and bound[at] < top[0] - 1e-12:
-                break
-            i = int(members[at])
-            sim = jaro(self.texts[i], stem, positions)
-            scored.append((sim, i))
-            if len(top) < self.k:
-                heapq.heappush(top, sim)
-            elif sim > top[0]:
-                heapq.heapreplace(top, sim)
-        floor = top[0] if len(top) == self.k else -1.0
-        for sim, i in scored:
-            if sim >= floor:
-                for row in self.rows[i]:
-                    yield (*row, sim)
+        if domain not in self.index:
+            # a bank row without a text is never similar; one space keeps its place
+            self.index[domain] = JaroIndex([self.keys[i][1] or " " for i in members])
+        sims = self.index[domain].similarity(stem)
+        sims = np.where([self.keys[i][1] != "" for i in members], sims, 0.0)
+        floor = np.partition(sims, -self.k)[-self.k] if len(sims) > self.k else -1.0
+        for at in np.flatnonzero(sims >= floor):
+            for row in self.rows[members[at]]:
+                yield (*row, float(sims[at]))
 
 
 _SCORED = pa.schema(

@@ -72,11 +72,19 @@ def domain_spine(df: DataFrame, labels: str = "a") -> DataFrame:
 def domain_table(df: DataFrame, metric: str, threshold: int, labels: str = "a") -> DataFrame:
     """Eligible items per domain, empty domains as zero, and a Total row."""
     hits = df.filter(F.col(metric) >= threshold).groupBy("domain").agg(F.count("*").alias("n_items"))
-    # the spine has five rows; the counts at most one row per domain
-    full = domain_spine(df, labels).join(hits, "domain", "left").select(
-        "domain", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items")
+    return with_total(on_spine(hits, labels).select("domain", F.coalesce("n_items", F.lit(0)).alias("n_items")))
+
+
+def on_spine(hits: DataFrame, labels: str) -> DataFrame:
+    """One row per domain; the counts are null where no item passed.
+
+    Null-safe on purpose: a plain equality lets Spark push "domain is not null" - a regular
+    expression over the item id - below every aggregation, down to the response rows.
+    """
+    spine = domain_spine(hits, labels).withColumnRenamed("domain", "_domain")
+    return spine.join(hits, F.col("_domain").eqNullSafe(F.col("domain")), "left").drop("domain").withColumnRenamed(
+        "_domain", "domain"
     )
-    return with_total(full)
 
 
 def with_total(table: DataFrame, *by: str) -> DataFrame:
@@ -90,9 +98,8 @@ def selection_tables(
     """All threshold tables from one aggregation over the metrics."""
     flags = [F.count_if(F.col(s.metric) >= s.threshold).alias(s.table_name) for s in specs]
     hits = metrics.groupBy("domain").agg(*flags)
-    wide = domain_spine(metrics, labels).join(hits, "domain", "left")
-    long = wide.unpivot(["domain"], [s.table_name for s in specs], "table_name", "n_items")
-    long = long.withColumn("n_items", F.coalesce("n_items", F.lit(0)).cast("long"))
+    long = on_spine(hits, labels).unpivot(["domain"], [s.table_name for s in specs], "table_name", "n_items")
+    long = long.withColumn("n_items", F.coalesce("n_items", F.lit(0)))
     return with_total(long, "table_name").select("table_name", "domain", "n_items")
 
 
