@@ -9,7 +9,8 @@ from catalog.registry import query
 from respan.functions.qid import item_lookup
 from respan.irt import fit as irt
 from respan.irt.m2 import m2_stats as m2, model_stats as all_stats
-from respan.operators import compare, describe as ds, rows
+from respan.lineage import cut_lineage
+from respan.operators import compare, rows
 from respan.operators.counts import item_counts
 from respan.operators.trim import (
     TrimLimits, flag_summary as flags, item_diagnostics as diagnose, ranked_items, trim_pools as pools,
@@ -48,8 +49,9 @@ def fixed_fit(fx):
 
 def fixed_bifactor(fx):
     """Bifactor with the true slopes and specific slopes of 0.5."""
-    fmap = irt.factor_map(fx.params).select("QID", "factor")
-    params = fx.params.select("QID", "a", "b").join(fmap, "QID").withColumn("a_specific", F.lit(0.5))
+    known = cut_lineage(fx.params.select("QID", "a", "b"))  # one row per item, used twice
+    fmap = irt.factor_map(known).select("QID", "factor")
+    params = known.join(fmap, "QID").withColumn("a_specific", F.lit(0.5))
     return irt.state_from_params(params, "bifactor")
 
 

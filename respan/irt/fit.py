@@ -12,7 +12,7 @@ import pandas as pd
 from respan.functions.qid import testlet
 from respan.irt.chi2 import chi2_upper_tail
 from respan.irt.estep import expected_sums, item_list, pack_responses, pair_sums, respondent_posteriors
-from respan.irt.model import SLOPE_BOUND, Grid, ModelState, grid_1d, grid_bifactor, start_state, update_items
+from respan.irt.model import MAX_ITEMS, SLOPE_BOUND, Grid, ModelState, grid_1d, grid_bifactor, start_state, update_items
 from respan.lineage import cut_lineage
 from respan.operators.counts import item_counts
 from respan.operators.rows import testlet_blocks
@@ -172,15 +172,17 @@ def item_params(model: FittedModel) -> DataFrame:
 def state_from_params(params: DataFrame, kind: str = "2pl", sd: float = 1.0) -> ModelState:
     """Model with known parameters (``QID, a, b`` or ``QID, a, d [, a_specific, factor]``).
 
-    Item-sized collect; ``start_state`` refuses more than the model limit.
+    Item-sized collect, refused above the model limit.
     """
     have = params.columns
     d = F.col("d") if "d" in have else -F.col("a") * F.col("b")
     cols = [F.col("QID"), F.col("a").alias("a"), d.alias("d")]
     if kind == "bifactor":
         cols += [F.coalesce("a_specific", F.lit(0.0)).alias("s"), F.coalesce("factor", F.lit(0)).alias("f")]
-    known = params.select(*cols).filter(F.col("a").isNotNull() & F.col("d").isNotNull())
-    rows = sorted(known.collect(), key=lambda r: r["QID"])
+    found = params.select(*cols).limit(MAX_ITEMS + 1).collect()
+    if len(found) > MAX_ITEMS:
+        raise ValueError(f"more than {MAX_ITEMS} items")
+    rows = sorted((r for r in found if r["a"] is not None and r["d"] is not None), key=lambda r: r["QID"])
     factor = {r["QID"]: r["f"] for r in rows if r["f"]} if kind == "bifactor" else None
     state = start_state(kind, [r["QID"] for r in rows], factor)
     if kind == "bifactor":

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from respan.functions.columns import clean_text, paste_cols
-from respan.functions.text import JaroIndex
+from respan.functions.text import EditProbe, JaroIndex
 from respan.operators.quality import APPROVED, DECISIONS
 from respan.operators.rows import distinct_first, filter_in, project_tolerant, stack
 
@@ -77,14 +77,14 @@ class _BankBlock:
         self.index: dict[str | None, JaroIndex] = {}
 
     def best(self, domain: str | None, stem: str | None) -> Iterator[tuple]:
-        """(QID, domain, stem, similarity) of the k best, with all ties at the border."""
+        """(QID, domain, stem, similarity, distance) of the k best, with all ties at the border."""
         members = self.members.get(domain)
         if members is None:
             return
         if stem is None:
             ids = [r for i in members for r in self.rows[i]]
             for row in heapq.nsmallest(self.k, ids, key=lambda r: r[0]):
-                yield (*row, None)
+                yield (*row, None, None)
             return
         if domain not in self.index:
             # a bank row without a text is never similar; one space keeps its place
@@ -92,20 +92,23 @@ class _BankBlock:
         sims = self.index[domain].similarity(stem)
         sims = np.where([self.keys[i][1] != "" for i in members], sims, 0.0)
         floor = np.partition(sims, -self.k)[-self.k] if len(sims) > self.k else -1.0
+        edits = EditProbe(stem)
         for at in np.flatnonzero(sims >= floor):
+            distance = edits.distance(self.keys[members[at]][1])
             for row in self.rows[members[at]]:
-                yield (*row, float(sims[at]))
+                yield (*row, float(sims[at]), distance)
 
 
 _SCORED = pa.schema(
     [
         ("domain_key", pa.string()), ("stem_key", pa.string()), ("candidate_QID", pa.string()),
         ("candidate_domain", pa.string()), ("candidate_stem", pa.string()), ("similarity_jw", pa.float64()),
+        ("distance_lv", pa.int32()),
     ]
 )
 _SCORED_DDL = (
     "domain_key string, stem_key string, candidate_QID string, candidate_domain string, "
-    "candidate_stem string, similarity_jw double"
+    "candidate_stem string, similarity_jw double, distance_lv int"
 )
 
 
@@ -174,7 +177,6 @@ def best_candidates(probes: DataFrame, bank: DataFrame, n_probes: int, k: int) -
             salted, ["block", "salt"]
         )
     scored = work.select("block", "items", "probes").mapInArrow(_score_blocks(k), _SCORED_DDL)
-    scored = scored.withColumn("distance_lv", F.levenshtein("stem_key", F.lower("candidate_stem")))
     return scored.withColumn("candidate_rank", _ranked(["domain_key", "stem_key"])).filter(
         F.col("candidate_rank") <= k
     )
