@@ -146,7 +146,8 @@ def _compute(both: np.ndarray, right: np.ndarray, state: ModelState) -> tuple:
     rmsea = math.sqrt(max(0.0, (m2 - df) / (df * (n - 1))))
     tli = ((base / base_df) - (m2 / df)) / ((base / base_df) - 1.0)
     cfi = 1.0 - max(m2 - df, 0.0) / max(base - base_df, m2 - df, 1e-300)
-    return (m2, float(df), chi2_upper_tail(m2, df), rmsea, fit["SRMSR"], tli, cfi, None)
+    values = (m2, df, chi2_upper_tail(m2, df), rmsea, fit["SRMSR"], tli, cfi)
+    return (*[float(v) for v in values], None)
 
 
 def m2_stats(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
