@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from respan.irt.model import MAX_ITEMS, ModelState
-from respan.operators.dedupe import unique_responses
+from respan.operators.dedupe import answer_lists
 
 CELLS = 4_000_000  # matrix cells held at a time per task
 
@@ -30,21 +30,16 @@ def item_list(resp: DataFrame) -> list[str]:
 
 
 def pack_responses(resp: DataFrame, items: list[str], key: str = "global_id") -> DataFrame:
-    """One row per respondent: positions of the answered items and the answers.
-
-    Repeats collapse before the list is built, so it is bounded by the item list; the
-    explicit partition number keeps small tables parallel.
-    """
+    """One row per respondent: positions of the answered items and the answers."""
     spark = resp.sparkSession
     index = spark.createDataFrame(pa.table({"QID": items, "_i": pa.array(range(len(items)), pa.int32())}))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    indexed = unique_responses(resp, key).join(F.broadcast(index), "QID")  # at most MAX_ITEMS rows
-    cells = F.collect_list(F.struct(F.col("_i").alias("i"), F.col("response").cast("byte").alias("y")))
-    packed = indexed.repartition(parts, key).groupBy(key).agg(cells.alias("_c"))
-    return packed.select(
+    answered = resp.filter(F.col("response").isNotNull()).select(key, "QID", "response")
+    indexed = answered.join(F.broadcast(index), "QID")  # at most MAX_ITEMS rows
+    lists = answer_lists(indexed, key, F.col("_i"), F.col("response").cast("byte"))
+    return lists.select(
         F.col(key),
-        F.transform("_c", lambda c: c["i"]).alias("items"),
-        F.transform("_c", lambda c: c["y"]).alias("answers"),
+        F.transform("cells", lambda c: c["i"]).alias("items"),
+        F.transform("cells", lambda c: c["y"]).alias("answers"),
     )
 
 

@@ -4,28 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from respan.operators.rows import Order, distinct_first
 
 
-def unique_responses(resp: DataFrame, key: str = "global_id") -> DataFrame:
-    """One answered response per (respondent, item): the least one, whatever the row order."""
-    answered = resp.filter(F.col("response").isNotNull())
-    return answered.groupBy(key, "QID").agg(F.min("response").alias("response"))
+def answer_lists(resp: DataFrame, key: str, item: Column, answer: Column) -> DataFrame:
+    """``key, cells``: the answered items of a respondent as (i, y) pairs in item order.
 
+    One shuffle.  The set of pairs collapses repeats before it, so even a respondent with a
+    third of all rows sends a list bounded by the item bank.  Of contradicting answers to
+    an item the least stays.
+    """
+    pairs = F.collect_set(F.struct(item.alias("i"), answer.alias("y")))
+    sets = resp.groupBy(key).agg(F.array_sort(pairs).alias("_s"))
+    first = F.filter("_s", lambda c, at: (at == 0) | (F.get("_s", at - 1)["i"] != c["i"]))
+    return sets.select(key, first.alias("cells"))
 
-def score_patterns(resp: DataFrame, key: str = "global_id") -> DataFrame:
-    """Digest of all answers of a respondent.
 
-    The list per respondent is bounded by the item bank, since repeats collapse first.
-    """
-    cells = F.array_sort(F.collect_list(F.concat_ws("=", "QID", "response")))
-    per = unique_responses(resp, key).groupBy(key).agg(cells.alias("_cells"))
+def score_patterns(resp: DataFrame, key: str = "global_id") -> DataFrame:
+    """Digest of all answers of a respondent."""
+    answered = resp.filter(F.col("response").isNotNull())
+    per = answer_lists(answered, key, F.col("QID"), F.col("response"))
+    text = F.transform("cells", lambda c: F.concat_ws("=", c["i"], c["y"].cast("string")))
     return per.select(
         key,
-        F.size("_cells").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_cells", ","), 256).alias("pattern"),
+        F.size("cells").cast("long").alias("n_items"),
+        F.sha2(F.array_join(text, ","), 256).alias("pattern"),
     )
 
 

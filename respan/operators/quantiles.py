@@ -44,48 +44,32 @@ def exact_quantiles(
     )
     small = F.col("_n") <= small_group
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keyed]
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                (small | (F.col("_v") <= F.col("_hi")[i])).alias("use"),
-                F.when(small | (F.col("_v") >= F.col("_lo")[i]), F.col("_v")).alias("v"),
-            )
-            for i in range(len(ps))
-        ]
-    )
-    hits = (
+    v = F.col("_v")
+    inside, region = small, F.lit(0)
+    for i in range(len(ps)):
+        lo, hi = F.col("_lo")[i], F.col("_hi")[i]
+        inside = inside | v.between(lo, hi)
+        region = region + (v >= lo).cast("int") + (v > hi).cast("int")
+    # Cut points split the line into ordered regions.  Inside a bracket one row per distinct
+    # value remains, outside one row per region.
+    counts = (
         rows.alias("r")
         .join(ends.alias("e"), on)
-        .select(
-            *[F.col(f"r.{k}").alias(k) for k in keyed],
-            "_n",
-            F.explode(F.filter(slots, lambda s: s["use"])).alias("_s"),
-        )
-    )
-    # one row per distinct value in the bracket, and one (null) for all values below it
-    counts = hits.groupBy(*keyed, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v")).agg(
-        F.count("*").alias("_c"), F.first("_n").alias("_n")
-    )
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("_i") + 1)
-    w = W.partitionBy(*keyed, "_i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counts.withColumns(
-        {"_cum": F.sum("_c").over(w), "_at": prob * (F.col("_n") - 1)}
-    ).withColumn("_floor", F.floor("_at"))
-    known = F.col("_v").isNotNull()
-    picked = ranked.groupBy(*keyed, "_i").agg(
-        F.min(F.when(known & (F.col("_cum") > F.col("_floor")), F.col("_v"))).alias("_a"),
-        F.min(F.when(known & (F.col("_cum") > F.ceil("_at")), F.col("_v"))).alias("_b"),
-        F.max(F.when(~known, F.col("_cum"))).alias("_below"),
-        F.first("_at").alias("_at"),
-        F.first("_floor").alias("_floor"),
-    )
-    # a rank outside its bracket would be a broken sketch: stop, never guess
-    outside = F.col("_a").isNull() | F.col("_b").isNull() | (F.coalesce("_below", F.lit(0)) > F.col("_floor"))
-    exact = F.when(outside, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(
-        F.col("_a") + (F.col("_at") - F.col("_floor")) * (F.col("_b") - F.col("_a"))
-    )
-    out = picked.groupBy(*keyed).agg(
-        *[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(names)]
+        .select(*[F.col(f"r.{k}").alias(k) for k in keyed], "_n", region.alias("_region"), F.when(inside, v).alias("_v"))
+        .groupBy(*keyed, "_n", "_region", "_v")
+        .agg(F.count("*").alias("_c"))
     )
+    w = W.partitionBy(*keyed).orderBy("_region", F.col("_v").asc_nulls_first())
+    ranked = counts.withColumn("_cum", F.sum("_c").over(w))
+    answers = []
+    for name, p in probs.items():
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        below = F.min_by("_v", F.when(F.col("_cum") > F.floor(at), F.col("_cum")))
+        above = F.min_by("_v", F.when(F.col("_cum") > F.ceil(at), F.col("_cum")))
+        share = F.max(at - F.floor(at))
+        # a rank outside the brackets would be a broken sketch: stop, never guess
+        lost = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
+        exact = below + share * (above - below)
+        answers.append(F.when(below.isNull() | above.isNull(), lost).otherwise(exact).alias(name))
+    out = ranked.groupBy(*keyed).agg(*answers)
     return out if keys else out.drop("_all")
