@@ -172,8 +172,8 @@ def m2_stats(fx):
 
 @query()
 def model_stats(fx):
-    models = [irt.fit_irt(fx.response, k, max_iter=5) for k in ("rasch", "2pl")]
-    return all_stats(fx.response, models)
+    packed = irt.prepare(fx.response)
+    return all_stats(packed, [irt.fit_irt(packed, k, max_iter=5) for k in ("rasch", "2pl")])
 
 
 # ---- diagnostics and trimming --------------------------------------------

@@ -71,14 +71,33 @@ def factor_items(fmap: DataFrame) -> DataFrame:
 
 # ---- fitting -------------------------------------------------------------
 
-def prepare(resp: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
-    """(packed answers, items to fit, degenerate items answered all right or all wrong)."""
+@dataclass
+class PackedResponses:
+    """Answers packed once, for any number of fits and scores over the same items."""
+
+    data: DataFrame
+    items: list[str]
+    degenerate: list[str]  # answered all right or all wrong: not fitted
+
+
+def prepare(resp: DataFrame) -> PackedResponses:
+    """Two passes over the responses: one counts the items, one packs (and checkpoints)."""
     counts = item_counts(resp).select("QID", "n_wrong", "n_correct").filter("n_wrong + n_correct > 0")
-    items = item_list(counts)
-    flat = {r["QID"] for r in counts.filter("n_wrong = 0 or n_correct = 0").collect()}
-    fitted = [q for q in items if q not in flat]
-    packed = cut_lineage(pack_responses(resp, fitted))
-    return packed, fitted, sorted(flat)
+    found = counts.limit(MAX_ITEMS + 1).collect()
+    if len(found) > MAX_ITEMS:
+        raise ValueError(f"more than {MAX_ITEMS} items")
+    flat = {r["QID"] for r in found if not r["n_wrong"] or not r["n_correct"]}
+    items = sorted(r["QID"] for r in found if r["QID"] not in flat)
+    return PackedResponses(cut_lineage(pack_responses(resp, items)), items, sorted(flat))
+
+
+def packed_for(resp: DataFrame | PackedResponses, items: list[str]) -> DataFrame:
+    """The packed answers to exactly these items."""
+    if not isinstance(resp, PackedResponses):
+        return pack_responses(resp, items)
+    if resp.items != items:
+        raise ValueError("the responses were packed for other items")
+    return resp.data
 
 
 def collect_sums(packed: DataFrame, state: ModelState):
@@ -95,7 +114,7 @@ def collect_sums(packed: DataFrame, state: ModelState):
 
 
 def fit_irt(
-    resp: DataFrame,
+    resp: DataFrame | PackedResponses,
     kind: str,
     factors: DataFrame | None = None,
     name: str | None = None,
@@ -110,12 +129,13 @@ def fit_irt(
     log-likelihood gains less than ``tol_loglik`` (relative); ``converged`` tells whether
     it did within ``max_iter``.
     """
-    spark = resp.sparkSession
-    packed, items, flat = prepare(resp)
+    prepared = resp if isinstance(resp, PackedResponses) else prepare(resp)
+    packed, items, flat = prepared.data, prepared.items, prepared.degenerate
+    spark = packed.sparkSession
     mapping = None
     if kind == "bifactor":
         if factors is None:
-            factors = factor_map(resp)
+            factors = factor_map(spark.createDataFrame([(q,) for q in items], "QID string"))
         mapping = {r["QID"]: r["factor"] for r in factors.filter("factor is not null").collect()}
     state = start_state(kind, items, mapping)
     packed.persist()
@@ -198,12 +218,12 @@ def _as_state(model) -> ModelState:
     return model.state if isinstance(model, FittedModel) else model
 
 
-def posteriors(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+def posteriors(resp: DataFrame | PackedResponses, model: FittedModel | ModelState) -> DataFrame:
     state = _as_state(model)
-    return respondent_posteriors(pack_responses(resp, state.items), state)
+    return respondent_posteriors(packed_for(resp, state.items), state)
 
 
-def score_eap(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+def score_eap(resp: DataFrame | PackedResponses, model: FittedModel | ModelState) -> DataFrame:
     """EAP score and its SE per respondent, for any of the models (bifactor: general factor).
 
     Respondents without an answer to the model's items have no row; the left join of
@@ -212,13 +232,13 @@ def score_eap(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
     return posteriors(resp, model).select("global_id", "theta", "SE_theta")
 
 
-def score_eap_bifactor(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+def score_eap_bifactor(resp: DataFrame | PackedResponses, model: FittedModel | ModelState) -> DataFrame:
     if _as_state(model).kind != "bifactor":
         raise ValueError("not a bifactor model")
     return score_eap(resp, model)
 
 
-def log_likelihood(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+def log_likelihood(resp: DataFrame | PackedResponses, model: FittedModel | ModelState) -> DataFrame:
     """One row: marginal log-likelihood and the number of respondents."""
     return posteriors(resp, model).agg(
         F.sum("log_marginal").alias("logLik"), F.count("*").alias("n_respondents")

@@ -9,8 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from respan.irt.chi2 import chi2_upper_tail
-from respan.irt.estep import pack_responses, pair_sums
-from respan.irt.fit import FittedModel, _as_state, fit_statistics
+from respan.irt.estep import pair_sums
+from respan.irt.fit import FittedModel, PackedResponses, _as_state, fit_statistics, packed_for
 from respan.irt.model import ModelState
 from respan.operators.rows import stack
 
@@ -150,15 +150,16 @@ def _compute(both: np.ndarray, right: np.ndarray, state: ModelState) -> tuple:
     return (*[float(v) for v in values], None)
 
 
-def m2_stats(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+def m2_stats(resp: DataFrame | PackedResponses, model: FittedModel | ModelState) -> DataFrame:
     """One row: M2, df, p, RMSEA, SRMSR, TLI, CFI, or nulls and the reason.
 
     Spark sums the margins over the respondents; what comes back is items x items.
     """
     state = _as_state(model)
-    spark = resp.sparkSession
     n_items = len(state.items)
-    table = pair_sums(pack_responses(resp, state.items), n_items).toArrow()
+    packed = packed_for(resp, state.items)
+    spark = packed.sparkSession
+    table = pair_sums(packed, n_items).toArrow()
     both, right = np.zeros((n_items, n_items)), np.zeros((n_items, n_items))
     i, j = table["i"].to_numpy(), table["j"].to_numpy()
     both[i, j] = both[j, i] = table["n"].to_numpy()
@@ -166,7 +167,7 @@ def m2_stats(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
     return spark.createDataFrame([_compute(both, right, state)], _DDL)
 
 
-def model_stats(resp: DataFrame, models: list[FittedModel]) -> DataFrame:
+def model_stats(resp: DataFrame | PackedResponses, models: list[FittedModel]) -> DataFrame:
     """Fit statistics and M2 of several models, one row per model."""
     parts = []
     for m in models:

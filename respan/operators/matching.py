@@ -162,7 +162,8 @@ def best_candidates(probes: DataFrame, bank: DataFrame, n_probes: int, k: int) -
     ).first()
     n_bank = max(1, -(-size["n"] // BANK_BLOCK))
     n_batches = max(1, -(-n_probes // PROBE_BLOCK))
-    bank_blocks = _blocks(bank.select("QID", "domain", "stem"), n_bank, "block", "items")
+    # identical rows would share a block, so they collapse first
+    bank_blocks = _blocks(bank.select("QID", "domain", "stem").distinct(), n_bank, "block", "items")
     probe_blocks = _blocks(probes, n_batches, "batch", "probes").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(n_bank - 1)))
     )

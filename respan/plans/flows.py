@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from respan.functions.qid import item_lookup
-from respan.irt.fit import FittedModel, factor_map, fit_irt, fit_table, item_params, score_eap
+from respan.irt.fit import FittedModel, factor_map, fit_irt, fit_table, item_params, prepare, score_eap
 from respan.operators import compare, matching
 from respan.operators.counts import item_counts, item_sample_size
 from respan.operators.quality import clean_review
@@ -65,11 +65,15 @@ MODEL_PAIRS = {
 
 
 def compare_flow(resp: DataFrame, covars: DataFrame, how: str = "blocks", **fit_options) -> ModelComparison:
-    """Fit the three models, and put their scores side by side with the covariates."""
+    """Fit the three models, and put their scores side by side with the covariates.
+
+    The responses are packed once for all fits and scores.
+    """
+    packed = prepare(resp)
     factors = factor_map(resp, how)
-    models = {k: fit_irt(resp, k, factors, **fit_options) for k in ("rasch", "2pl", "bifactor")}
+    models = {k: fit_irt(packed, k, factors, **fit_options) for k in ("rasch", "2pl", "bifactor")}
     scores = [
-        score_eap(resp, m).withColumnsRenamed({"theta": f"theta_{k}", "SE_theta": f"SE_theta_{k}"})
+        score_eap(packed, m).withColumnsRenamed({"theta": f"theta_{k}", "SE_theta": f"SE_theta_{k}"})
         for k, m in models.items()
     ]
     side_by_side = compare.compare_models(compare.attach_scores(covars, *scores), MODEL_PAIRS)
@@ -93,7 +97,7 @@ def trim_flow(
     counts = item_counts(resp).select("QID", "n_responded", "prop_correct")
     diag = item_diagnostics(item_lookup(resp), counts, item_params(full), limits)
     kept, dropped = trim_pools(trim_review(diag, reviewed))
-    pool = restrict_items(resp, kept)
+    pool = prepare(restrict_items(resp, kept))
     model = fit_irt(pool, "2pl", name="2pl_trimmed", **fit_options)
     scores = compare.compare_scores(covars, score_eap(resp, full), score_eap(pool, model))
     return Trimmed(diag, kept, dropped, model, scores)
