@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from respan.lineage import scratch_path
 from respan.llm.binids import read_digests, write_ids
 from respan.llm.decontaminate import mark_contamination
+from respan.llm.jaccard import jaccard_components
 from respan.llm.pieces import piece_digests
 from respan.llm.repetition import measure_quality
 from respan.llm.toxicity import SAMPLE_ROWS, fit_toxicity, labelled_sample, score_toxicity
@@ -44,12 +45,16 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(documents(spark, sf_dir), PIECE_MODEL, keep=["doc_id"])
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     write_ids(documents(spark, sf_dir), path, BYTE_TOKENIZER)
     return read_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_quality_rules, op4_toxicity, op7_sentencepiece, op10_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_quality_rules, op4_toxicity, op7_sentencepiece, op9_jaccard_join, op10_token_ids)}
 
 ORACLES: dict[str, str] = {}
