@@ -10,7 +10,10 @@ from respan.llm.binids import read_digests, write_ids
 from respan.llm.decontaminate import mark_contamination
 from respan.llm.jaccard import jaccard_components
 from respan.llm.pieces import piece_digests
+from respan.llm.pii import find_pii
 from respan.llm.repetition import measure_quality
+from respan.llm.secrets import find_secrets
+from respan.llm.substrings import remove_repeats
 from respan.llm.toxicity import SAMPLE_ROWS, fit_toxicity, labelled_sample, score_toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -30,6 +33,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measure_quality(documents(spark, sf_dir), keep=["doc_id"])
 
@@ -41,10 +48,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(documents(spark, sf_dir), PIECE_MODEL, keep=["doc_id"])
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), digest=True)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
@@ -55,6 +70,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_quality_rules, op4_toxicity, op7_sentencepiece, op9_jaccard_join, op10_token_ids)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_secrets, op3_quality_rules, op4_toxicity, op5_pii, op7_sentencepiece, op8_substring_dedup, op9_jaccard_join, op10_token_ids,
+    )
+}
 
 ORACLES: dict[str, str] = {}
