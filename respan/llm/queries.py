@@ -9,6 +9,7 @@ from respan.lineage import scratch_path
 from respan.llm.binids import read_digests, write_ids
 from respan.llm.decontaminate import mark_contamination
 from respan.llm.jaccard import jaccard_components
+from respan.llm.linededup import remove_lines
 from respan.llm.pieces import piece_digests
 from respan.llm.pii import find_pii
 from respan.llm.repetition import measure_quality
@@ -52,6 +53,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_lines(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(documents(spark, sf_dir), PIECE_MODEL, keep=["doc_id"])
 
@@ -73,7 +79,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op2_secrets, op3_quality_rules, op4_toxicity, op5_pii, op7_sentencepiece, op8_substring_dedup, op9_jaccard_join, op10_token_ids,
+        op1_decontamination, op2_secrets, op3_quality_rules, op4_toxicity, op5_pii, op6_line_dedup, op7_sentencepiece, op8_substring_dedup, op9_jaccard_join, op10_token_ids,
     )
 }
 
