@@ -1,7 +1,7 @@
 """Hashes of places in documents meet their equals from other documents, and the places that matter are told back.
 
 Rows of a plain table (hash, document, place) would be several times the text.  Here each task packs what it
-has for a hash range into one binary value (sorted, byte planes side by side, which the shuffle's
+has for a hash range into one binary value (in text order, byte planes side by side, which the shuffle's
 compression shortens), after settling by itself what its own rows settle.  So a hash that many documents
 have leaves a task once, not once for each of them.
 """
@@ -59,26 +59,35 @@ def _unplanes(data: memoryview, n: int, width: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def _width(x: np.ndarray) -> int:
-    return max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=0)
 
 
-def _pack(e: Entries, hash_bytes: int) -> bytes:
+def _pack(e: Entries, key: np.ndarray, width: int) -> bytes:
+    """Entries in the order of rows and places, which then take about a byte besides their hash."""
     used, row = np.unique(e.row, return_inverse=True)
-    tail = e.place.astype(np.uint64) << np.uint64(2) | e.flag.astype(np.uint64)
-    head = np.array([len(row), len(used), _width(row), _width(tail)], "<u4").tobytes()
-    h = e.hash >> np.uint64(64 - 8 * hash_bytes)
-    return b"".join([head, e.docs[used].astype("<i8").tobytes(), _planes(h, hash_bytes), _planes(row, _width(row)), _planes(tail, _width(tail))])
-
-
-def _unpack(data: bytes, hash_bytes: int) -> Entries:
-    n, m, wide, tail = np.frombuffer(data, "<u4", 4).tolist()
-    view, at = memoryview(data), 16 + 16 * m
-    docs = np.frombuffer(data, "<i8", 2 * m, 16).reshape(m, 2)
-    h = _unplanes(view[at:], n, hash_bytes)
-    row = _unplanes(view[at + n * hash_bytes :], n, wide).astype(np.int64)
-    t = _unplanes(view[at + n * (hash_bytes + wide) :], n, tail)
-    return Entries(docs, row, (t >> np.uint64(2)).astype(np.int64), h, (t & np.uint64(3)).astype(np.int64))
+    size = e.place[np.flatnonzero(np.append(row[1:] != row[:-1], True))] + 1 if len(row) else e.place
+    at = (np.cumsum(size) - size)[row] + e.place
+    head = np.array([len(row), len(used)], "<u4").tobytes()
+    flags = [np.packbits(e.flag & f > 0).tobytes() for f in (1, 2)]
+    docs = [_planes(_steps(e.docs[used, 0]).view(np.uint64), 8), _planes(e.docs[used, 1], 4), _planes(size, 4)]
+    return b"".join([head, *docs, _planes(key, width), _planes(_steps(at), 4), *flags])
+
+
+def _unpack(data: bytes, width: int) -> Entries:
+    n, m = np.frombuffer(data, "<u4", 2).tolist()
+    view, at = memoryview(data), 8
+    columns = []
+    for count, w in ((m, 8), (m, 4), (m, 4), (n, width), (n, 4)):
+        columns.append(_unplanes(view[at:], count, w))
+        at += count * w
+    ids, mark, size, key, step = columns
+    docs = np.stack([np.cumsum(ids.view(np.int64)), mark.astype(np.int64)]).T
+    first = np.cumsum(size.astype(np.int64))
+    place = np.cumsum(step.astype(np.int64))
+    row = np.searchsorted(first, place, "right")
+    bits = [np.unpackbits(np.frombuffer(view[at + i * ((n + 7) // 8) :], np.uint8, (n + 7) // 8), count=n) for i in (0, 1)]
+    return Entries(docs, row, place - (first - size.astype(np.int64))[row], key, bits[0].astype(np.int64) + 2 * bits[1])
 
 
 def _replies(e: Entries) -> list[tuple[int, int, bytes]]:
@@ -107,13 +116,14 @@ def meet(
     entries: Callable[[], Callable[[pa.RecordBatch], Iterable[Entries]]],
     settle: Callable[[Entries], tuple[Entries, Entries]],
     decide: Callable[[Entries], Entries],
-    hash_bytes: int,
+    exact: bool,
 ) -> DataFrame:
     """doc_id, mark and places (little-endian 32-bit integers): what tasks settled and what the meeting decided.
 
     ``entries()`` makes, once in each task, a function from a batch to entries.  ``settle`` splits a task's
     entries into those already answered and those to send; ``decide`` picks, among all entries of a hash
-    range, those to answer.  A hash range is held by one task: its size is the number of entries that tasks
+    range, those to answer.  Unless ``exact``, only 32 bits of a hash are sent besides its range, so a few
+    different hashes may be taken for equal.  A hash range is held by one task: its size is the number of entries that tasks
     send, divided by spark.sql.shuffle.partitions.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -131,10 +141,13 @@ def meet(
 
         def flush():
             known, rest = settle(joined(held))
-            rest = rest.take(np.argsort(rest.hash, kind="stable"))
-            bucket = (rest.hash >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
-            cuts = np.searchsorted(bucket, np.arange(n + 1, dtype=np.uint64))
-            packed = [(int(keys[b]), _pack(rest.take(slice(a, z)), hash_bytes)) for b, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
+            scaled = (rest.hash >> np.uint64(16)) * np.uint64(n)  # n is below 2^16
+            key = rest.hash if exact else (scaled >> np.uint64(16)) & np.uint64(0xFFFFFFFF)
+            order = np.lexsort((rest.place, rest.row, scaled >> np.uint64(48)))
+            rest, key = rest.take(order), key[order]
+            cuts = np.searchsorted((scaled >> np.uint64(48))[order], np.arange(n + 1, dtype=np.uint64))
+            spans = [(b, slice(a, z)) for b, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
+            packed = [(int(keys[b]), _pack(rest.take(at), key[at], 8 if exact else 4)) for b, at in spans]
             return batch_of(packed, _replies(known))
 
         for batch in batches:
@@ -153,7 +166,7 @@ def meet(
             told = batch.filter(pc.is_valid(batch.column("doc_id")))
             if told.num_rows:
                 yield told.select(["doc_id", "mark", "places"])
-            held += [_unpack(x, hash_bytes) for x in batch.column("payload").drop_null().to_pylist()]
+            held += [_unpack(x, 8 if exact else 4) for x in batch.column("payload").drop_null().to_pylist()]
         if held:
             replies = _replies(decide(joined(held)))
             for a in range(0, len(replies), 10_000):

@@ -13,6 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from respan.llm.meeting import Entries, groups, meet
@@ -22,8 +23,10 @@ WINDOW = 13
 _ALIGNED, _SETTLED = 1, 2
 
 
-def _docs(part: pa.RecordBatch) -> np.ndarray:
-    return np.stack([part.column("doc_id").to_numpy(), part.column("mark").to_numpy()]).T
+def _docs(part: pa.RecordBatch, mark: bool) -> np.ndarray:
+    """doc_id and, to tell rows of one doc_id apart, a part of the text's hash."""
+    doc = part.column("doc_id").to_numpy()
+    return np.stack([doc, part.column("mark").to_numpy() if mark else np.zeros_like(doc)]).T
 
 
 def _distinct(e: Entries) -> Entries:
@@ -86,15 +89,15 @@ def _blocks(block: int):
                 w = words(part.column("text"), kind, powers)
                 at, h = w.windows(block)
                 place = at - w.first[w.row[at]]
-                yield Entries(_docs(part), w.row[at], place, h, np.where(place % block == 0, _ALIGNED, 0))
+                yield Entries(_docs(part, False), w.row[at], place, h, np.where(place % block == 0, _ALIGNED, 0))
 
         return entries
 
     return start
 
 
-def _places(cell) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, "<i4") for x in cell.as_py()]).astype(np.int64) if cell.is_valid else np.zeros(0, np.int64)
+def _places(told: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, "<i4"), *(np.frombuffer(x, "<i4") for x in told)]).astype(np.int64)
 
 
 def _windows(block: int, window: int):
@@ -104,19 +107,20 @@ def _windows(block: int, window: int):
         powers, kind = Powers(), white_space_words()
 
         def entries(batch):
-            for part in slices(batch, "text"):
+            for part in slices(batch.filter(pc.is_valid(batch.column("told"))), "text"):
                 w = words(part.column("text"), kind, powers)
                 at, h = w.windows(block)
                 hit = np.zeros(len(w.hash), bool)
                 for i, cell in enumerate(part.column("told")):
                     begin, end = np.searchsorted(at, w.first[i : i + 2])
                     own = h[begin:end]
-                    hit[at[begin:end][np.isin(own, own[_places(cell)])]] = True
+                    told = _places(cell.as_py())
+                    hit[at[begin:end][np.isin(own, own[told[told < len(own)]])]] = True
                 upto = np.concatenate([[0], np.cumsum(hit)])
                 at, h = w.windows(window)
                 some = upto[at + window - block + 1] > upto[at]
                 at = at[some]
-                yield Entries(_docs(part), w.row[at], at - w.first[w.row[at]], h[some], np.zeros(len(at), np.int64))
+                yield Entries(_docs(part, True), w.row[at], at - w.first[w.row[at]], h[some], np.zeros(len(at), np.int64))
 
         return entries
 
@@ -138,16 +142,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     """
     block = (window + 1) // 2
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64("text"))
-    valid = rows.where("doc_id is not null")
-
-    def gathered(told: DataFrame, name: str) -> DataFrame:
-        return told.groupBy("doc_id", "mark").agg(F.collect_list("places").alias(name))
-
-    anchors = meet(valid, _blocks(block), _settle_blocks, _decide_blocks, hash_bytes=6)
-    around = valid.join(gathered(anchors, "told"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "told")
-    repeats = meet(around, _windows(block, window), _settle_windows, _decide_windows, hash_bytes=8)
-    whole = rows.join(gathered(repeats, "removed"), ["doc_id", "mark"], "left").select("doc_id", "text", "removed")
+    rows = rows.withColumn("mark", F.xxhash64("text").bitwiseAND(F.lit((1 << 32) - 1)))
+    anchors = meet(rows.where("doc_id is not null"), _blocks(block), _settle_blocks, _decide_blocks, exact=False)
+    told = anchors.groupBy("doc_id").agg(F.collect_list("places").alias("told"))
+    # both joins are left joins of the same rows on the same key, so the texts are shuffled once
+    around = rows.join(told, "doc_id", "left").select("doc_id", "mark", "text", "told")
+    repeats = meet(around, _windows(block, window), _settle_windows, _decide_windows, exact=True)
+    removed = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "places")).alias("removed"))
+    whole = rows.join(removed, "doc_id", "left").select("doc_id", "mark", "text", "removed")
     last = "kept_sha256" if digest else "kept"
     schema = T.StructType.fromDDL(f"doc_id long, n_words long, n_removed long, {last} string")
 
@@ -158,8 +160,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 w = words(part.column("text"), kind, powers)
                 data = w.data.tobytes()
                 n_removed, kept = [], []
-                for i, cell in enumerate(part.column("removed")):
-                    removed = covered(int(w.counts[i]), _places(cell), window)
+                for i, (cell, mark) in enumerate(zip(part.column("removed"), part.column("mark").to_pylist())):
+                    own = [x["places"] for x in cell.as_py() or () if x["mark"] == mark]
+                    removed = covered(int(w.counts[i]), _places(own), window)
                     left = _kept_words(w, i, data, removed)
                     n_removed.append(int(removed.sum()))
                     kept.append(hashlib.sha256(left).hexdigest() if digest else left.decode("utf-8", "replace"))
