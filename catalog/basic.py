@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
+from catalog.views import ONE_BYTE
 from respan.functions import columns as cf, qid as qf, text as tf
 from respan.irt.fit import fit_statistics, factor_map
 from respan.lineage import scratch_path
@@ -101,8 +102,9 @@ def select_covariates(fx):
 @query("select distinct QID from fx_response where regexp_matches(QID, '^Q[0-9]{3}')")
 def find_item_columns(fx):
     """Long to wide, find the item columns by name, and list them (one row per column)."""
-    items = [r["QID"] for r in fx.params.select("QID").collect()]
-    wide = rows.to_wide(fx.response, items)
+    from catalog.model import item_ids
+
+    wide = rows.to_wide(fx.response, item_ids())
     found = rows.item_columns(wide)
     counted = wide.agg(*[F.count(c).alias(c) for c in found])
     return counted.unpivot([], found, "QID", "n").filter("n > 0").select("QID")
@@ -188,9 +190,10 @@ def add_review_shell(fx):
     return matching.add_review_shell(fx.template.select("source_name", "question_id"))
 
 
-@query("select global_id, case when college like 'ua%' then 'ua' else college end as college from fx_respondent where college <> 'umgc1'")
+@query("select global_id, case when college like 'ua%' then 'ua' else college end as college from (select global_id, case when age = 21 then null else college end as college from fx_respondent) t where college is distinct from 'umgc1'")
 def final_dataset(fx):
-    return rows.final_dataset(fx.respondent).select("global_id", "college")
+    some = fx.respondent.withColumn("college", F.expr("if(age = 21, null, college)"))
+    return rows.final_dataset(some).select("global_id", "college")
 
 
 @query("select global_id, readTime from fx_respondent where readTime >= 300")
@@ -215,10 +218,10 @@ def join_lookup(fx):
 @query("select d.domain, coalesce(n,0)::bigint as n_items from (select unnest(['identifying_details','inference','language_vocabulary','purpose_point_of_view','summary_synthesis']) as domain) d left join (select domain, count(*) as n from or_metrics where min_factor_n >= 20 group by domain) m using (domain)")
 def domain_spine(fx):
     from catalog.summary import metrics
-    from respan.operators.selection import domain_spine as spine
+    from respan.operators.selection import on_spine
 
     hits = metrics(fx).filter("min_factor_n >= 20").groupBy("domain").agg(F.count("*").alias("_n"))
-    return spine(fx.params, "a").join(hits, "domain", "left").select("domain", F.coalesce("_n", F.lit(0)).cast("long").alias("n_items"))
+    return on_spine(hits, "a").select("domain", F.coalesce("_n", F.lit(0)).cast("long").alias("n_items"))
 
 
 def review_cases(fx):
@@ -274,16 +277,16 @@ def valid_ids(fx):
     return known.unionByName(rows.filter_not_in(review, "human_final_qid", keys).withColumn("kind", F.lit("unknown")))
 
 
-@query("""with bankkeys as (select lower(trim(regexp_replace(stem, '\\s+', ' ', 'g'))) as k, min(QID) as exact_QID from fx_bank group by 1),
-staged as (select t.*, b.exact_QID from fx_template t left join bankkeys b on lower(trim(regexp_replace(t.stem, '\\s+', ' ', 'g'))) = b.k),
-pairs as (select s.source_name, s.question_id, b.QID, jaro_similarity(lower(s.stem), lower(b.stem)) as sim, levenshtein(lower(s.stem), lower(b.stem)) as lev
+@query("""with bankkeys as (select lower(trim(regexp_replace(stem, '\\s+', ' ', 'g'))) as k, d, min(QID) as exact_QID from (select stem, QID, unnest(list_distinct(['', lower(coalesce(domain, ''))])) as d from fx_bank) b group by 1, 2),
+staged as (select t.*, b.exact_QID from fx_template t left join bankkeys b on lower(trim(regexp_replace(t.stem, '\\s+', ' ', 'g'))) = b.k and lower(coalesce(t.domainId, '')) = b.d),
+pairs as (select s.source_name, s.question_id, b.QID, jaro_similarity({one}s.stem{byte}, {one}b.stem{byte}) as sim, levenshtein({one}s.stem{byte}, {one}b.stem{byte}) as lev
  from staged s join fx_bank b on s.domainId is null or s.domainId = '' or lower(s.domainId) = lower(b.domain) where s.exact_QID is null and s.stem <> ''),
 near as (select * from (select *, row_number() over (partition by source_name, question_id order by sim desc, lev, QID) as rn from pairs) z where rn = 1),
 fixed as (select source_name, question_id, 'Q001s1' as QID from fx_template where source_name = 'conv_system')
 select s.source_name, s.question_id, s.domainId, s.stem, coalesce(s.exact_QID, case when 1 - n.sim <= 0.35 then n.QID end, f.QID) as QID,
  case when s.exact_QID is not null then 'exact' when 1 - n.sim <= 0.35 then 'fuzzy' when f.QID is not null then 'manual_repair' end as match_method,
  case when s.exact_QID is null and 1 - n.sim <= 0.35 then round(1 - n.sim, 6) end as string_distance
-from staged s left join near n using (source_name, question_id) left join fixed f using (source_name, question_id)""")
+from staged s left join near n using (source_name, question_id) left join fixed f using (source_name, question_id)""".replace("{one}", ONE_BYTE[0]).replace("{byte}", ONE_BYTE[1]))
 def match_items(fx):
     repairs = fx.template.filter("source_name = 'conv_system'").select("source_name", "question_id", F.lit("Q001s1").alias("QID"))
     return matching.match_items(fx.template, fx.bank, repairs, 0.35)
@@ -291,7 +294,8 @@ def match_items(fx):
 
 @query("select a.global_id as survivor_id, b.global_id as matched_id, a.cohort as survivor_cohort, b.cohort as matched_cohort from fx_cohorts a join fx_cohorts b on a.source_id = b.source_id and a.cohort = 'main' and b.cohort = 'trial'")
 def duplicate_pairs(fx):
-    return dedupe.duplicate_pairs(fx.cohorts, ["source_id"], "cohort")
+    unknown = fx.cohorts.filter("cohort = 'main'").select(F.concat(F.lit("N"), "global_id").alias("global_id"), "source_id", F.lit(None).cast("string").alias("cohort"))
+    return dedupe.duplicate_pairs(fx.cohorts.select("global_id", "source_id", "cohort").unionByName(unknown), ["source_id"], "cohort")
 
 
 @query("select c.global_id, c.source_id, c.cohort, coalesce(c.age, m.age) as age, coalesce(c.gender, m.gender) as gender, c.transfer from fx_cohorts c left join fx_cohorts m on c.cohort = 'main' and m.cohort = 'trial' and m.source_id = c.source_id")
@@ -373,9 +377,14 @@ def student_timing(fx):
     return dedupe.student_timing(fx.events, "user_id", "ts")
 
 
-@query("select event_id, user_id, round((epoch_us(ts)-epoch_us(lag(ts) over (partition by user_id order by ts)))/1e6,6) as step_seconds from events")
+@query("""with e as (select event_id, case when event_id % 41 = 0 then null else user_id end as user_id, case when event_id % 37 = 0 then null else ts end as ts from events)
+select event_id, user_id, round((epoch_us(ts)-epoch_us(lag(ts) over (partition by user_id order by ts)))/1e6,6) as step_seconds from e where user_id is not null and ts is not null
+union all select event_id, user_id, null from e where user_id is null or ts is null""")
 def item_timing(fx):
-    timed = dedupe.item_timing(fx.events.select("event_id", "user_id", "ts"), "user_id", "ts")
+    events = fx.events.select(
+        "event_id", F.expr("if(event_id % 41 = 0, null, user_id)").alias("user_id"), F.expr("if(event_id % 37 = 0, null, ts)").alias("ts")
+    )
+    timed = dedupe.item_timing(events, "user_id", "ts")
     return timed.select("event_id", "user_id", "step_seconds")
 
 
@@ -540,4 +549,5 @@ def normalize_id(fx):
 
 @query("select r.global_id, coalesce(l.QID, r.QID) as QID, r.response, l.QID is not null as qid_mapped from fx_response r left join fx_legacy l on r.QID = l.legacy_QID")
 def harmonize_qid(fx):
-    return qf.harmonize_qid(fx.response, fx.legacy)
+    twice = fx.legacy.unionByName(fx.legacy.withColumn("QID", F.concat("QID", F.lit("y"))))
+    return qf.harmonize_qid(fx.response, twice)

@@ -57,15 +57,20 @@ def fixed_bifactor(fx):
 
 # ---- reshape -------------------------------------------------------------
 
+def item_ids(n: int = 180) -> list[str]:
+    """The ids of the bank of ``fx_response``, by its rule."""
+    codes = ("s", "in", "id", "p", "l")
+    return [f"Q{k:03d}{codes[k % 5]}{(k + 5) // 6}" for k in range(1, n + 1)]
+
+
 @query("select global_id, QID, response from fx_response")
 def to_long(fx):
-    items = [r["QID"] for r in fx.params.select("QID").collect()]
-    return rows.to_long(rows.to_wide(fx.response, items))
+    return rows.to_long(rows.to_wide(fx.response, item_ids()))
 
 
-@query("select global_id, min(response) filter (QID='Q001in1') as Q001in1, min(response) filter (QID='Q002id1') as Q002id1, min(response) filter (QID='Q007id2') as Q007id2 from fx_response group by global_id")
+@query("select global_id, " + ", ".join(f"min(response) filter (QID='{q}') as {q}" for q in item_ids()) + " from fx_response group by global_id")
 def to_wide(fx):
-    return rows.to_wide(fx.response, ["Q001in1", "Q002id1", "Q007id2"])
+    return rows.to_wide(fx.response, item_ids())
 
 
 # ---- estimation ----------------------------------------------------------
@@ -199,6 +204,7 @@ def flag_summary(fx):
 @query("select f.QID, trim_candidate, case when l.legacy_QID is not null then false else trim_candidate end as drop_item, case when l.legacy_QID is not null then 'keep' end as reviewer_note from or_flags f left join fx_legacy l on f.QID = l.legacy_QID")
 def trim_review(fx):
     decided = fx.legacy.select(F.col("legacy_QID").alias("QID"), F.lit(False).alias("drop_item"), F.lit("keep").alias("reviewer_note"))
+    decided = decided.unionByName(decided.withColumn("reviewer_note", F.lit("later")))
     return review(diagnostics(fx), decided).select("QID", "trim_candidate", "drop_item", "reviewer_note")
 
 

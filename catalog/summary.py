@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.basic import numbered_cases, patches, respondents
 from catalog.registry import query
+from respan.operators.rows import cast_items, to_wide
 from respan.operators import compare, counts as ct, dedupe, describe as ds, matching, quality as qa, selection as sel
 
 CATEGORIES = ["college", "wave", "age", "gender", "ethnicity", "military", "pell"]
@@ -283,6 +284,46 @@ def check_gates(fx):
     return qa.check(qa.clean_review(fx.review), gates, "audit_row")
 
 
+@query("""with r as (select global_id, QID, case when substr(QID,2,3) = '007' then 2 else response end as response from fx_response union all select null, 'Q001in1', 1)
+ select 'response_allowed' as gate, 'stop' as severity, count(*) filter (response not in (0,1)) as n_violations, min(global_id) filter (response not in (0,1)) as sample from r
+ union all select 'global_id_present', 'stop', count(*) filter (global_id is null), null from r
+ union all select 'QID_present', 'stop', count(*) filter (QID is null), null from r""")
+def response_gate(fx):
+    """Answers outside 0/1 and rows without an id, in a table that has both."""
+    wrong = fx.response.withColumn("response", F.when(F.substring("QID", 2, 3) == "007", 2).otherwise(F.col("response")))
+    nobody = fx.response.sparkSession.sql("select cast(null as string) as global_id, 'Q001in1' as QID, 1 as response")
+    return qa.check(wrong.unionByName(nobody), qa.response_gates(), "global_id")
+
+
+@query("""select c || '_castable' as gate, 'warn' as severity, count(*) filter (bad) as n_violations, min(global_id) filter (bad) as sample from (
+  select 'transfer' as c, global_id, trim(transfer) not in ('','NA') and try_cast(transfer as int) is null as bad from fx_respondent
+  union all select 'pell', global_id, trim(pell) not in ('','NA') and try_cast(pell as int) is null from fx_respondent) t group by c""")
+def cast_gate(fx):
+    """Item-like columns with values that are no integers."""
+    raw = fx.respondent.select("global_id", "transfer", "pell")
+    return qa.failed_casts(raw, cast_items(raw, ["transfer", "pell"]), ["transfer", "pell"], "global_id")
+
+
+@query("select 'required_columns' as gate, 'stop' as severity, 2::bigint as n_violations, 'gpa' as sample from (select count(*) as n from customer) t")
+def column_gate(fx):
+    return qa.column_gate(fx.respondent, [*fx.respondent.columns, "gpa", "school"])
+
+
+@query("select 'item_count' as gate, 'stop' as severity, case when n = 180 then 0 else 1 end::bigint as n_violations, case when n <> 180 then n || ' item columns, expected 180' end as sample from (select count(distinct QID) as n from fx_response) t")
+def item_count_gate(fx):
+    from catalog.model import item_ids
+
+    wide = to_wide(fx.response, item_ids())
+    seen = wide.agg(*[F.count(c).alias(c) for c in item_ids()])
+    return qa.item_count_gate(seen, 180)
+
+
+@query("""select what || '_present' as gate, 'stop' as severity, (n = 0)::bigint as n_violations, case when n = 0 then what || ' is empty' end as sample
+ from (select 'selection' as what, count(*) filter (a > 100) as n from fx_params union all select 'bank', count(*) from fx_params) t""")
+def rows_gate(fx):
+    return qa.rows_gate(fx.params.filter("a > 100"), "selection").unionByName(qa.rows_gate(fx.params, "bank"))
+
+
 @query("select audit_row, human_final_qid from or_review where human_final_decision in ('accept','revise') and human_final_qid is not null and human_final_qid not in (select QID from fx_bank)")
 def unknown_ids(fx):
     return qa.unknown_ids(qa.clean_review(fx.review), fx.bank).select("audit_row", "human_final_qid")

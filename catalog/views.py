@@ -13,17 +13,16 @@ TABLES = (
 
 _DOMAIN = "case {k} % 5 when 0 then 'structure' when 1 then 'inference' when 2 then 'ideas' when 3 then 'purpose' else 'language' end"
 _CODE = "case {k} % 5 when 0 then 's' when 1 then 'in' when 2 then 'id' when 3 then 'p' else 'l' end"
-# both engines compare the same characters once letters outside ASCII are dropped
-_ASCII = "regexp_replace({c}, '[^ -~\n]', ''{g})"
-
-
-def _ascii(col: str, engine: str) -> str:
-    return _ASCII.format(c=col, g=", 'g'" if engine == "duckdb" else "")
+# DuckDB's distances count bytes: there, and only there, each lower-case character outside ASCII that the
+# texts hold is put as a control character they do not hold, so that both engines count characters.
+_WIDE = "ßäçèéêíñóöü"
+ONE_BYTE = ("translate(lower(", f"), '{_WIDE}', " + " || ".join(f"chr({i})" for i in (*range(1, 9), *range(14, 14 + len(_WIDE) - 8))) + ")")
+_UPPER = "translate({c}, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"  # the engines differ on other letters
 
 
 def view_sql(engine: str) -> dict[str, str]:
     """View name -> SQL.  Later views may use earlier ones."""
-    text = _ascii("text", engine)
+    text = "text"
     return {
         "fx_respondent": """
 select concat('G',lpad(cast(c_custkey as string),6,'0')) as global_id, concat(' s-',cast(c_custkey as string),' ') as source_id,
@@ -58,7 +57,7 @@ select concat('conv_', role) as source_name, concat(cast(conv_id as string),'.',
  case when conv_id % 7 = 0 then null when conv_id % 7 = 1 then '' else {_DOMAIN.format(k='(conv_id + turn)')} end as domainId,
  case when conv_id % 29 = 3 then null else {text} end as stem from conversations
  union all select 'edited', concat('b',cast(item_id as string)), upper({_DOMAIN.format(k='item_id')}), lower(substr({text},3)) from benchmark
- union all select 'recased', concat('b',cast(item_id as string)), {_DOMAIN.format(k='item_id')}, concat('  ', upper({text})) from benchmark""",
+ union all select 'recased', concat('b',cast(item_id as string)), {_DOMAIN.format(k='item_id')}, concat('  ', {_UPPER.format(c=text)}) from benchmark""",
         # true item parameters of fx_response
         "fx_params": """
 select QID, cast(3 + (k-1) % 7 as double) / 5 as a, cast((k-1)*37 % 180 - 90 as double) / 60 as b, cast(0 as double) as g, cast(1 as double) as u
@@ -150,9 +149,9 @@ ORACLE_VIEWS = {
  (flag_low_a or flag_high_a or flag_extreme_b or flag_low_n or flag_poor_p) as trim_candidate from or_diag""",
     "or_cases": """select row_number() over (order by source_name, question_id) as audit_row, * from fx_template""",
     "or_pool": """select * from (select c.audit_row, c.source_name, c.question_id, c.domainId, c.stem as source_stem,
-  case when b.QID is not null then row_number() over (partition by c.audit_row order by jaro_similarity(lower(nullif(c.stem,'')), lower(b.stem)) desc nulls last, levenshtein(lower(nullif(c.stem,'')), lower(b.stem)) asc nulls last, b.QID) end as candidate_rank,
+  case when b.QID is not null then row_number() over (partition by c.audit_row order by jaro_similarity({one}nullif(c.stem,''){byte}, {one}b.stem{byte}) desc nulls last, levenshtein({one}nullif(c.stem,''){byte}, {one}b.stem{byte}) asc nulls last, b.QID) end as candidate_rank,
   b.QID as candidate_QID, b.domain as candidate_domain, b.stem as candidate_stem,
-  jaro_similarity(lower(nullif(c.stem,'')), lower(b.stem)) as similarity_jw, levenshtein(lower(nullif(c.stem,'')), lower(b.stem)) as distance_lv
+  jaro_similarity({one}nullif(c.stem,''){byte}, {one}b.stem{byte}) as similarity_jw, levenshtein({one}nullif(c.stem,''){byte}, {one}b.stem{byte}) as distance_lv
  from or_cases c left join fx_bank b on c.domainId is null or c.domainId = '' or lower(c.domainId) = lower(b.domain)) x
  where candidate_rank <= 5 or candidate_rank is null""",
     "or_review": """select * exclude (human_final_qid, human_final_decision, audit_status), nullif(trim(human_final_qid),'') as human_final_qid,
@@ -180,6 +179,7 @@ ORACLE_VIEWS = {
 def with_views(sql: str, *names: str) -> str:
     """Oracle text: the named views (and those they use) as common table expressions."""
     all_views = {**view_sql("duckdb"), **ORACLE_VIEWS}
+    all_views["or_pool"] = all_views["or_pool"].replace("{one}", ONE_BYTE[0]).replace("{byte}", ONE_BYTE[1])
     needed = set(names) | {v for v in all_views if v in sql.replace(",", " ").replace("(", " ").replace(")", " ").split()}
     for name in reversed(list(all_views)):
         if name in needed:

@@ -107,10 +107,11 @@ def global_id(college: Column, identifier: Column) -> Column:
 def harmonize_qid(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """Replace legacy ids by final ids; ``qid_mapped`` reports ids without a mapping.
 
-    ``mapping`` holds ``legacy_QID, QID``.  It is item-sized; Spark broadcasts it when its
-    measured size allows that and shuffles it otherwise.
+    ``mapping`` holds ``legacy_QID, QID``; of an id that is mapped more than once the least final
+    id counts, so no row is doubled.  It is item-sized; Spark broadcasts it when its measured size
+    allows that and shuffles it otherwise.
     """
-    m = mapping.select(F.col("legacy_QID").alias("_legacy"), F.col("QID").alias("_final"))
+    m = mapping.groupBy(F.col("legacy_QID").alias("_legacy")).agg(F.min("QID").alias("_final"))
     joined = df.join(m, df["QID"] == m["_legacy"], "left")
     return joined.withColumns(
         {"QID": F.coalesce("_final", "QID"), "qid_mapped": F.col("_final").isNotNull()}

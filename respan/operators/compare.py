@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from respan.functions.columns import null_last, pair_difference
+from respan.operators.rows import distinct_first
 
 # Covariates carried to every score table.
 COVARIATES = (
@@ -16,10 +17,12 @@ COVARIATES = (
 def attach_scores(covars: DataFrame, *scores: DataFrame, key: str = "global_id") -> DataFrame:
     """Covariates with the scores of several models, joined on the respondent.
 
-    All sides are keyed alike, so Spark shuffles the chain of joins by one partitioning.
+    All sides are keyed alike, so Spark shuffles the chain of joins by one partitioning.  Of
+    several score rows of a respondent the least counts, so no covariate row is doubled.
     """
     out = covars
     for s in scores:
+        s = distinct_first(s, [key], [(c, "asc") for c in s.columns if c != key])
         out = out.join(s, key, "left")
     return out
 

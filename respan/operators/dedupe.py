@@ -50,9 +50,10 @@ def duplicate_pairs(
     """Likely duplicates across cohorts: each row paired with the survivor of its key group.
 
     The survivor is the first id of the first cohort.  A group of n copies gives at most
-    n - 1 pairs, never n squared; rows with a null key are not compared.
+    n - 1 pairs, never n squared; rows with a null key or a null cohort are not compared, and do
+    not keep the others of their group from being compared.
     """
-    known = df.dropna(subset=list(keys)).select(key, cohort, *keys)
+    known = df.dropna(subset=[cohort, *keys]).select(key, cohort, *keys)
     first = F.min(F.struct(cohort, key))
     groups = (
         known.groupBy(*keys)
@@ -106,19 +107,20 @@ def student_timing(rows: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def item_timing(rows: DataFrame, key: str, ts: str, bucket_seconds: int = 3600) -> DataFrame:
-    """Seconds since the student's previous row; null on the first.
+    """Seconds since the student's previous row; null on the first, and without a time or student.
 
-    The window runs inside (student, time bucket), so one student's rows are spread over
+    Every row stays.  The window runs inside (student, time bucket), so one student's rows are spread over
     many tasks.  Only the last time of each earlier bucket crosses the bucket border.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     timed = rows.withColumns(
         {"_us": micros, "_bucket": F.floor(micros / F.lit(bucket_seconds * 1_000_000))}
     )
-    ends = timed.groupBy(key, "_bucket").agg(F.max("_us").alias("_end"))
+    known = F.col(key).isNotNull() & F.col("_us").isNotNull()
+    ends = timed.filter(known).groupBy(key, "_bucket").agg(F.max("_us").alias("_end"))
     by_bucket = W.partitionBy(key).orderBy("_bucket")
     carry = ends.select(key, "_bucket", F.lag("_end").over(by_bucket).alias("_carry"))
     in_bucket = W.partitionBy(key, "_bucket").orderBy("_us")
-    stepped = timed.withColumn("_prev", F.lag("_us").over(in_bucket)).join(carry, [key, "_bucket"])
-    step = (F.col("_us") - F.coalesce("_prev", "_carry")) / 1e6
+    stepped = timed.withColumn("_prev", F.lag("_us").over(in_bucket)).join(carry, [key, "_bucket"], "left")
+    step = F.when(known, (F.col("_us") - F.coalesce("_prev", "_carry")) / 1e6)
     return stepped.withColumn("step_seconds", step).drop("_us", "_bucket", "_prev", "_carry")

@@ -186,7 +186,8 @@ def best_candidates(probes: DataFrame, bank: DataFrame, n_probes: int, k: int) -
 def candidate_pool(cases: DataFrame, bank: DataFrame, k: int = 5, n_cases: int | None = None) -> DataFrame:
     """k best bank items per case, inside the case's domain when it names one.
 
-    Copies of a case are matched once: the work is per distinct (domain, stem).  A case
+    Copies of a case are matched once: the work is per distinct (domain, stem).  Counts the cases
+    (unless ``n_cases`` is given) and measures the bank at once.  A case
     without any candidate keeps one row of nulls; a case without a stem gets the first
     items by QID, unscored.
     """
@@ -304,12 +305,16 @@ def match_items(
 ) -> DataFrame:
     """Item identity in stages: exact stem, then nearest stem, then manual repair.
 
-    Adds ``QID``, ``match_method`` (exact / fuzzy / manual_repair / null) and
+    A case that names a domain is matched inside it in the first two stages; one that names none
+    takes the least id of any domain.  Counts the templates and measures the bank at once.  Adds ``QID``, ``match_method`` (exact / fuzzy / manual_repair / null) and
     ``string_distance`` (1 - similarity of the fuzzy stage).
     """
-    keys = bank.groupBy(stem_key(F.col("stem")).alias("_k")).agg(F.min("QID").alias("exact_QID"))
-    keys = keys.filter(F.col("_k").isNotNull())
-    staged = templates.withColumn("_k", stem_key(F.col("stem"))).join(keys, "_k", "left").drop("_k")
+    domain = lambda c: F.coalesce(F.lower(c), F.lit(""))
+    stems = bank.select(stem_key(F.col("stem")).alias("_k"), domain(F.col("domain")).alias("_d"), "QID").filter(F.col("_k").isNotNull())
+    anywhere = stems.withColumn("_d", F.lit(""))
+    keys = stems.filter("_d <> ''").unionByName(anywhere).groupBy("_k", "_d").agg(F.min("QID").alias("exact_QID"))
+    keyed_templates = templates.withColumns({"_k": stem_key(F.col("stem")), "_d": domain(F.col("domainId"))})
+    staged = keyed_templates.join(keys, ["_k", "_d"], "left").drop("_k", "_d")
     open_cases = staged.filter(F.col("exact_QID").isNull() & (F.col("stem") != ""))
     keyed = open_cases.select(
         F.nullif(F.lower("domainId"), F.lit("")).alias("domain_key"), F.lower("stem").alias("stem_key")

@@ -60,6 +60,49 @@ def check(df: DataFrame, gates: Sequence[Gate], sample: str) -> DataFrame:
     return df.agg(*aggs).select(F.explode(F.array(*items)).alias("_g")).select("_g.*")
 
 
+def response_gates(item: str = "QID", answer: str = "response", key: str = "global_id") -> list[Gate]:
+    """Answers are 0, 1 or missing; every row names its respondent and item."""
+    return [allowed_values(answer, (0, 1)), not_null(key), not_null(item)]
+
+
+def failed_casts(raw: DataFrame, cast: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """Rows of the gate report for values that a cast turned into null, one row for each column.
+
+    Both tables have a unique ``key``; blank and ``NA`` texts are missing values, not failures.
+    """
+    names = [f"_{c}" for c in cols]
+    given = raw.select(key, *[F.col(c).cast("string").alias(n) for c, n in zip(cols, names)])
+    both = given.join(cast.select(key, *cols), key)
+    gates = [
+        Gate(f"{c}_castable", F.col(n).isNotNull() & ~F.trim(n).isin("", "NA") & F.col(c).isNull(), "warn") for c, n in zip(cols, names)
+    ]
+    return check(both, gates, key)
+
+
+def table_gate(spark, name: str, problems: Sequence[str], severity: str = "stop") -> DataFrame:
+    """A gate row for a rule on the table as a whole, such as its columns: one violation for each problem."""
+    ddl = "gate string, severity string, n_violations long, sample string"
+    return spark.createDataFrame([(name, severity, len(problems), min(problems, default=None))], ddl)
+
+
+def column_gate(df: DataFrame, required: Iterable[str]) -> DataFrame:
+    return table_gate(df.sparkSession, "required_columns", missing_columns(df, required))
+
+
+def item_count_gate(df: DataFrame, n: int) -> DataFrame:
+    found = len(item_columns(df))
+    return table_gate(df.sparkSession, "item_count", [] if found == n else [f"{found} item columns, expected {n}"])
+
+
+def rows_gate(df: DataFrame, what: str) -> DataFrame:
+    """One violation if the table is empty; one aggregate, no rows to the driver."""
+    empty = F.count("*") == 0
+    return df.agg(
+        F.lit(f"{what}_present").alias("gate"), F.lit("stop").alias("severity"), empty.cast("long").alias("n_violations"),
+        F.when(empty, F.lit(f"{what} is empty")).alias("sample"),
+    )
+
+
 def enforce(report: DataFrame) -> None:
     """Raise on the first failed hard gate (the report has one row per gate)."""
     for row in report.filter((F.col("severity") == "stop") & (F.col("n_violations") > 0)).limit(1).collect():

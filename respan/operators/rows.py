@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from respan.functions.columns import clean_text, is_blank_level, null_last
 from respan.functions.qid import ITEM_PATTERN
@@ -67,9 +67,9 @@ def drop_blank_levels(df: DataFrame, col: str) -> DataFrame:
 
 
 def final_dataset(df: DataFrame, trial: str = "umgc1") -> DataFrame:
-    """Drop the trial cohort; colleges ``ua2`` and ``ua23`` become ``ua``."""
+    """Drop the trial cohort only (a null college stays); colleges ``ua2`` and ``ua23`` become ``ua``."""
     college = F.col("college")
-    return df.filter(college != trial).withColumn(
+    return df.filter(~college.eqNullSafe(trial)).withColumn(
         "college", F.when(college.startswith("ua"), "ua").otherwise(college)
     )
 
@@ -204,9 +204,5 @@ def to_wide(resp: DataFrame, items: Sequence[str], key: str = "global_id") -> Da
 
 # ---- respondent covariates -----------------------------------------------
 
-def patch_null(survivor: Column, other: Column) -> Column:
-    return F.coalesce(survivor, other)
-
-
 def clean_columns(df: DataFrame, cols: Iterable[str], lower: bool = True) -> DataFrame:
     return df.withColumns({c: clean_text(F.col(c), lower) for c in cols})

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from respan.functions.columns import count_flags, range_flag
-from respan.operators.rows import head_rows, sort_rows
+from respan.operators.rows import distinct_first, head_rows, sort_rows
 
 FLAGS = ("flag_low_a", "flag_high_a", "flag_extreme_b", "flag_low_n", "flag_poor_p")
 
@@ -61,12 +61,16 @@ def flag_summary(diag: DataFrame) -> DataFrame:
 
 
 def trim_review(diag: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
-    """Review table: the flag decides unless a reviewer did (``QID, drop_item, reviewer_note``)."""
+    """Review table: the flag decides unless a reviewer did (``QID, drop_item, reviewer_note``).
+
+    Of several reviews of an item one counts: drop before keep, then the first note.
+    """
     if reviewed is None:
         return diag.withColumns(
             {"drop_item": F.col("trim_candidate"), "reviewer_note": F.lit(None).cast("string")}
         )
-    r = reviewed.select("QID", F.col("drop_item").alias("_drop"), "reviewer_note")
+    one = distinct_first(reviewed, ["QID"], [("drop_item", "desc"), ("reviewer_note", "asc")])
+    r = one.select("QID", F.col("drop_item").alias("_drop"), "reviewer_note")
     return diag.join(r, "QID", "left").withColumn("drop_item", F.coalesce("_drop", "trim_candidate")).drop("_drop")
 
 

@@ -15,13 +15,17 @@ RESPONSE_TYPES = {"global_id": "string", "QID": "string", "response": "int"}
 PARAM_TYPES = {"QID": "string", "a": "double", "b": "double", "g": "double", "u": "double"}
 
 
-def read_table_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header; blank and ``NA`` fields are null; text may hold newlines and quotes."""
+def read_table_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; blank and ``NA`` fields are null; text may hold quotes.
+
+    With ``multi_line`` text may hold newlines, but a file is then read by one task; use Parquet, or
+    many files, for anything large.
+    """
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("nullValue", "NA")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )
