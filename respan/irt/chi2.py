@@ -32,5 +32,5 @@ def chi2_upper_tail(x: float, df: int) -> float:
         c = c if abs(c) > tiny else tiny
         frac *= d * c
         if abs(d * c - 1.0) < 1e-15:
-            break
-    return front * frac
+            return front * frac
+    raise ArithmeticError(f"no convergence for chi-square {x} on {df} degrees of freedom")

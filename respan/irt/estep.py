@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from respan.irt.model import MAX_ITEMS, ModelState
+from respan.irt.model import ITEM_BLOCK, ModelState, update_items
 from respan.operators.dedupe import answer_lists
 
 CELLS = 4_000_000  # matrix cells held at a time per task
@@ -22,19 +22,16 @@ CELLS = 4_000_000  # matrix cells held at a time per task
 # ---- packing -------------------------------------------------------------
 
 def item_list(resp: DataFrame) -> list[str]:
-    """The item ids in order.  Item-sized: refused above ``MAX_ITEMS``."""
-    rows = resp.select("QID").distinct().limit(MAX_ITEMS + 1).collect()
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items")
-    return sorted(r["QID"] for r in rows)
+    """The item ids in order: one row per item of the bank."""
+    return sorted(r["QID"] for r in resp.select("QID").distinct().collect() if r["QID"] is not None)
 
 
 def pack_responses(resp: DataFrame, items: list[str], key: str = "global_id") -> DataFrame:
     """One row per respondent: positions of the answered items and the answers."""
     spark = resp.sparkSession
     index = spark.createDataFrame(pa.table({"QID": items, "_i": pa.array(range(len(items)), pa.int32())}))
-    answered = resp.filter(F.col("response").isNotNull()).select(key, "QID", "response")
-    indexed = answered.join(F.broadcast(index), "QID")  # at most MAX_ITEMS rows
+    answered = resp.filter(F.col("response").isNotNull() & F.col(key).isNotNull()).select(key, "QID", "response")
+    indexed = answered.join(F.broadcast(index), "QID")  # the item list of the driver
     lists = answer_lists(indexed, key, F.col("_i"), F.col("response").cast("byte"))
     return lists.select(
         F.col(key),
@@ -123,9 +120,11 @@ def _rows_at_a_time(state: ModelState) -> int:
 # ---- estimation sums -----------------------------------------------------
 
 _SUMS_DDL = "item int, node int, n double, r double"
+_BLOCK_DDL = "block int, n binary, r binary, loglik double, people double, second double"
+_COEF_DDL = "block int, coef binary, loglik double, people double, second double"
 
 
-def _sums(state: ModelState) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sums(state: ModelState, blocks: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_items, n_nodes = len(state.items), len(state.grid.design())
         n, r = np.zeros((n_items, n_nodes)), np.zeros((n_items, n_nodes))
@@ -144,6 +143,15 @@ def _sums(state: ModelState) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 second += (w @ state.grid.general**2).sum()
         if count == 0:
             return
+        if blocks:  # one row for each block of items
+            for k, at in enumerate(range(0, n_items, ITEM_BLOCK)):
+                some = slice(at, at + ITEM_BLOCK)
+                own = (loglik, count, second) if k == 0 else (0.0, 0.0, 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([n[some].tobytes()]), pa.array([r[some].tobytes()]), *(pa.array([float(x)]) for x in own)],
+                    names=["block", "n", "r", "loglik", "people", "second"],
+                )
+            return
         # item -1 carries (log-likelihood, respondents) and (sum of E[theta^2], 0)
         item = np.concatenate([np.repeat(np.arange(n_items), n_nodes), [-1, -1]]).astype(np.int32)
         node = np.concatenate([np.tile(np.arange(n_nodes), n_items), [0, 1]]).astype(np.int32)
@@ -168,6 +176,49 @@ def expected_sums(packed: DataFrame, state: ModelState) -> DataFrame:
     return sums.groupBy("item", "node").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
 
 
+def _update(state: ModelState, slope_bound: float | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        design = state.grid.design()
+        held: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                n, r = (np.frombuffer(row[c]).reshape(-1, len(design)) for c in ("n", "r"))
+                rest = [row["loglik"], row["people"], row["second"]]
+                if row["block"] in held:
+                    mine = held[row["block"]]
+                    mine[0] += n
+                    mine[1] += r
+                    mine[2] = [a + b for a, b in zip(mine[2], rest)]
+                else:
+                    held[row["block"]] = [n.copy(), r.copy(), rest]
+        for block, (n, r, rest) in held.items():
+            some = slice(block * ITEM_BLOCK, block * ITEM_BLOCK + len(n))
+            coef = update_items(state.coef[some], state.free[some], design, n, r, slope_bound=slope_bound)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([coef.tobytes()]), *(pa.array([x]) for x in rest)],
+                names=["block", "coef", "loglik", "people", "second"],
+            )
+
+    return run
+
+
+def em_step(packed: DataFrame, state: ModelState, slope_bound: float | None = None):
+    """One E-step and item update: (coef, logLik, respondents, sum of E[theta^2]).
+
+    A task sends one row for each block of items; blocks are summed and updated where they meet,
+    and the driver gets the new coefficients.
+    """
+    n_blocks = max(1, -(-len(state.items) // ITEM_BLOCK))
+    sums = packed.select("items", "answers").mapInArrow(_sums(state, blocks=True), _BLOCK_DDL)
+    rows = sums.repartition(n_blocks, "block").mapInArrow(_update(state, slope_bound), _COEF_DDL).collect()
+    coef = state.coef.copy()
+    for row in rows:
+        new = np.frombuffer(row["coef"]).reshape(-1, coef.shape[1])
+        coef[row["block"] * ITEM_BLOCK : row["block"] * ITEM_BLOCK + len(new)] = new
+    total = [sum(row[c] for row in rows) for c in ("loglik", "people", "second")]
+    return coef, float(total[0]), int(round(total[1])), float(total[2])
+
+
 # ---- per respondent ------------------------------------------------------
 
 def _per_respondent(state: ModelState, key: str):

@@ -11,10 +11,11 @@ import pandas as pd
 
 from respan.functions.qid import testlet
 from respan.irt.chi2 import chi2_upper_tail
-from respan.irt.estep import expected_sums, item_list, pack_responses, pair_sums, respondent_posteriors
-from respan.irt.model import MAX_ITEMS, SLOPE_BOUND, Grid, ModelState, grid_1d, grid_bifactor, start_state, update_items
+from respan.irt.estep import em_step, expected_sums, item_list, pack_responses, pair_sums, respondent_posteriors
+from respan.irt.model import Grid, ModelState, grid_1d, grid_bifactor, start_state
 from respan.lineage import cut_lineage
 from respan.operators.counts import item_counts
+from respan.operators.quality import check, enforce, response_gates
 from respan.operators.rows import testlet_blocks
 
 _PARAM_DDL = (
@@ -81,14 +82,19 @@ class PackedResponses:
 
 
 def prepare(resp: DataFrame) -> PackedResponses:
-    """Two passes over the responses: one counts the items, one packs (and checkpoints)."""
+    """Three passes over the responses: gates, counts of the items (one row each), packing (and checkpoint).
+
+    Answers outside 0 and 1 and rows without a respondent or item raise ``GateError``.  The packed
+    answers lie in a few partitions for each core, so an iteration's sums do not grow with the
+    number of tasks that read the input.
+    """
+    enforce(check(resp, response_gates(), "QID"))
     counts = item_counts(resp).select("QID", "n_wrong", "n_correct").filter("n_wrong + n_correct > 0")
-    found = counts.limit(MAX_ITEMS + 1).collect()
-    if len(found) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items")
+    found = counts.collect()
     flat = {r["QID"] for r in found if not r["n_wrong"] or not r["n_correct"]}
     items = sorted(r["QID"] for r in found if r["QID"] not in flat)
-    return PackedResponses(cut_lineage(pack_responses(resp, items)), items, sorted(flat))
+    parts = 4 * resp.sparkSession.sparkContext.defaultParallelism
+    return PackedResponses(cut_lineage(pack_responses(resp, items).coalesce(parts)), items, sorted(flat))
 
 
 def packed_for(resp: DataFrame | PackedResponses, items: list[str]) -> DataFrame:
@@ -100,19 +106,6 @@ def packed_for(resp: DataFrame | PackedResponses, items: list[str]) -> DataFrame
     return resp.data
 
 
-def collect_sums(packed: DataFrame, state: ModelState):
-    """One E-step, collected as items x nodes tables plus (logLik, respondents, sum E[theta^2])."""
-    table = expected_sums(packed, state).toArrow()
-    item, node, n_sum, r_sum = (table[c].to_numpy() for c in ("item", "node", "n", "r"))
-    shape = (len(state.items), len(state.grid.design()))
-    n, r = np.zeros(shape), np.zeros(shape)
-    body = item >= 0
-    n[item[body], node[body]] = n_sum[body]
-    r[item[body], node[body]] = r_sum[body]
-    total, second = (~body & (node == k) for k in (0, 1))
-    return n, r, float(n_sum[total].sum()), int(round(r_sum[total].sum())), float(n_sum[second].sum())
-
-
 def fit_irt(
     resp: DataFrame | PackedResponses,
     kind: str,
@@ -121,11 +114,15 @@ def fit_irt(
     max_iter: int = 500,
     tol: float = 1e-4,
     tol_loglik: float = 0.0,
+    grid: Grid | None = None,
+    slope_bound: float | None = 10.0,
 ) -> FittedModel:
     """Marginal maximum likelihood by EM: ``rasch``, ``2pl`` or ``bifactor``.
 
-    Each iteration is one Spark job over the packed respondents; items x nodes sums come
-    back and the items are updated.  Stops when no estimate moves by ``tol``, or when the
+    Each iteration is one Spark job over the packed respondents; blocks of items are updated in
+    tasks and their coefficients come back.  ``slope_bound`` keeps slopes within bounds (None: free),
+    which ``at_bound`` reports.  Without answers or items the fit is a row of nulls with
+    ``converged = false``.  Stops when no estimate moves by ``tol``, or when the
     log-likelihood gains less than ``tol_loglik`` (relative); ``converged`` tells whether
     it did within ``max_iter``.
     """
@@ -137,15 +134,18 @@ def fit_irt(
         if factors is None:
             factors = factor_map(spark.createDataFrame([(q,) for q in items], "QID string"))
         mapping = {r["QID"]: r["factor"] for r in factors.filter("factor is not null").collect()}
-    state = start_state(kind, items, mapping)
+    state = start_state(kind, items, mapping, grid)
+    label = name or kind
+    if not items:
+        fit = spark.createDataFrame([(label, 0, None, 0, None, None, 0, False)], _FIT_DDL)
+        return FittedModel(label, state, params_table(spark, state, flat), fit, [])
     packed.persist()
     try:
         history: list[float] = []
         converged, done = False, 0
         for done in range(1, max_iter + 1):
-            n, r, loglik, people, second = collect_sums(packed, state)
+            coef, loglik, people, second = em_step(packed, state, slope_bound)
             history.append(loglik)
-            coef = update_items(state.coef, state.free, state.grid.design(), n, r)
             moved = float(np.abs(coef - state.coef).max())
             grid = state.grid
             if kind == "rasch":
@@ -157,18 +157,17 @@ def fit_irt(
             if moved < tol or gain < tol_loglik * abs(loglik):
                 converged = True
                 break
-        *_, loglik, people, _ = collect_sums(packed, state)
+        _, loglik, people, _ = em_step(packed, state, slope_bound)
         history.append(loglik)
     finally:
         packed.unpersist()
-    label = name or kind
     fit = spark.createDataFrame(
         [(label, len(items), state.npar, people, loglik, state.grid.sd, done, converged)], _FIT_DDL
     )
-    return FittedModel(label, state, params_table(spark, state, flat), fit, history)
+    return FittedModel(label, state, params_table(spark, state, flat, slope_bound), fit, history)
 
 
-def params_table(spark: SparkSession, state: ModelState, flat: list[str] = ()) -> DataFrame:
+def params_table(spark: SparkSession, state: ModelState, flat: list[str] = (), slope_bound: float | None = None) -> DataFrame:
     """Item parameters, b = -d / a; degenerate items are listed with null estimates."""
     rows = []
     for i, q in enumerate(state.items):
@@ -176,7 +175,7 @@ def params_table(spark: SparkSession, state: ModelState, flat: list[str] = ()) -
         a, d = c[0], c[-1]
         spec = c[1] if state.kind == "bifactor" else None
         factor = int(state.factor[i]) or None if state.kind == "bifactor" else None
-        bound = bool(np.any(np.abs(state.coef[i, :-1]) >= SLOPE_BOUND))
+        bound = slope_bound is not None and bool(np.any(np.abs(state.coef[i, :-1]) >= slope_bound))
         rows.append((q, a, spec, d, -d / a if a else None, 0.0, 1.0, factor, bound, "estimated"))
     rows += [(q, None, None, None, None, None, None, None, False, "degenerate") for q in flat]
     return spark.createDataFrame(rows, _PARAM_DDL)
@@ -192,17 +191,14 @@ def item_params(model: FittedModel) -> DataFrame:
 def state_from_params(params: DataFrame, kind: str = "2pl", sd: float = 1.0) -> ModelState:
     """Model with known parameters (``QID, a, b`` or ``QID, a, d [, a_specific, factor]``).
 
-    Item-sized collect, refused above the model limit.
+    Item-sized collect.
     """
     have = params.columns
     d = F.col("d") if "d" in have else -F.col("a") * F.col("b")
     cols = [F.col("QID"), F.col("a").alias("a"), d.alias("d")]
     if kind == "bifactor":
         cols += [F.coalesce("a_specific", F.lit(0.0)).alias("s"), F.coalesce("factor", F.lit(0)).alias("f")]
-    found = params.select(*cols).limit(MAX_ITEMS + 1).collect()
-    if len(found) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items")
-    rows = sorted((r for r in found if r["a"] is not None and r["d"] is not None), key=lambda r: r["QID"])
+    rows = sorted((r for r in params.select(*cols).collect() if r["a"] is not None and r["d"] is not None), key=lambda r: r["QID"])
     factor = {r["QID"]: r["f"] for r in rows if r["f"]} if kind == "bifactor" else None
     state = start_state(kind, [r["QID"] for r in rows], factor)
     if kind == "bifactor":

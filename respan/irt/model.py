@@ -1,7 +1,7 @@
 """Quadrature grids, parameter layout and the item update shared by all models.
 
-Everything here is item-sized and runs on the driver; the respondents stay on Spark
-(``respan.irt.estep``).
+Everything here is item-sized: estimates and scalars are on the driver, item updates run in tasks on
+blocks of items, and the respondents stay on Spark (``respan.irt.estep``).
 """
 
 from __future__ import annotations
@@ -10,8 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-MAX_ITEMS = 5_000  # items per model; a larger bank is refused, never cut
-SLOPE_BOUND = 10.0
+ITEM_BLOCK = 256  # items updated together by one task
 
 
 @dataclass(frozen=True)
@@ -68,21 +67,19 @@ class ModelState:
         return int(self.free.sum()) + (1 if self.kind == "rasch" else 0)
 
 
-def start_state(kind: str, items: list[str], factor: dict[str, int] | None = None) -> ModelState:
+def start_state(kind: str, items: list[str], factor: dict[str, int] | None = None, grid: Grid | None = None) -> ModelState:
     n = len(items)
-    if n > MAX_ITEMS:
-        raise ValueError(f"{n} items: a model holds at most {MAX_ITEMS}")
     if kind in ("rasch", "2pl"):
         coef = np.tile([1.0, 0.0], (n, 1))
         free = np.tile([kind == "2pl", True], (n, 1))
-        return ModelState(kind, items, grid_1d(), coef, free)
+        return ModelState(kind, items, grid or grid_1d(), coef, free)
     if kind != "bifactor":
         raise ValueError(f"unknown model {kind!r}")
     which = np.array([(factor or {}).get(q, 0) for q in items], dtype=int)
     coef = np.tile([1.0, 0.5, 0.0], (n, 1))
     coef[which == 0, 1] = 0.0
     free = np.column_stack([np.ones(n, bool), which > 0, np.ones(n, bool)])
-    return ModelState(kind, items, grid_bifactor(), coef, free, which)
+    return ModelState(kind, items, grid or grid_bifactor(), coef, free, which)
 
 
 def _objective(eta: np.ndarray, n: np.ndarray, r: np.ndarray) -> np.ndarray:
@@ -90,12 +87,14 @@ def _objective(eta: np.ndarray, n: np.ndarray, r: np.ndarray) -> np.ndarray:
 
 
 def update_items(
-    coef: np.ndarray, free: np.ndarray, design: np.ndarray, n: np.ndarray, r: np.ndarray, steps: int = 20
+    coef: np.ndarray, free: np.ndarray, design: np.ndarray, n: np.ndarray, r: np.ndarray, steps: int = 20,
+    slope_bound: float | None = None,
 ) -> np.ndarray:
     """Weighted logistic fit of every item by Newton steps with halving.
 
     ``n`` and ``r`` (items x nodes) are the expected answers and correct answers.  A step
-    that lowers an item's expected log-likelihood is halved, so it never falls.
+    that lowers an item's expected log-likelihood is halved, so it never falls.  Slopes are
+    kept within ``slope_bound`` if one is given.
     """
     coef = coef.copy()
     p = design.shape[1]
@@ -112,7 +111,8 @@ def update_items(
         scale = np.ones(len(coef))
         for _ in range(12):
             trial = coef + scale[:, None] * step
-            trial[:, :-1] = np.clip(trial[:, :-1], -SLOPE_BOUND, SLOPE_BOUND)
+            if slope_bound is not None:
+                trial[:, :-1] = np.clip(trial[:, :-1], -slope_bound, slope_bound)
             trial_value = _objective(trial @ design.T, n, r)
             worse = trial_value < value - 1e-12 * np.abs(value)
             if not worse.any():

@@ -118,3 +118,91 @@ def test_chi_square_tail():
     for x, df, p in [(3.841458820694124, 1, 0.05), (18.307038053275146, 10, 0.05), (67.50480655, 50, 0.05), (0.0, 3, 1.0)]:
         assert abs(chi2_upper_tail(x, df) - p) < 1e-8
     assert chi2_upper_tail(1e5, 3) == 0.0
+
+
+def test_m2_equals_the_dense_form():
+    """Against covariances summed over all answer patterns."""
+    import itertools
+
+    from respan.irt.m2 import quadratic_form
+    from respan.irt.model import start_state
+
+    rng = np.random.default_rng(5)
+    for kind, factor in (("2pl", None), ("bifactor", {"a": 1, "b": 1, "c": 2, "d": 2, "e": 0, "f": 2})):
+        items = list("abcdef")
+        state = start_state(kind, items, factor)
+        state.coef = state.coef + rng.normal(0, 0.3, state.coef.shape) * state.free
+        design = state.grid.design()
+        prob = 1 / (1 + np.exp(-(state.coef @ design.T)))
+        patterns = np.array(list(itertools.product((0, 1), repeat=6)))
+        if kind == "2pl":
+            weight = np.exp(state.grid.log_prior)
+            p = np.array([weight @ np.prod(np.where(y[:, None] == 1, prob, 1 - prob), axis=0) for y in patterns])
+        else:
+            g, u = np.exp(state.grid.log_prior), np.exp(state.grid.log_prior_specific)
+            p = np.zeros(64)
+            for k, y in enumerate(patterns):
+                like = np.where(y[:, None] == 1, prob, 1 - prob).reshape(6, len(g), len(u))
+                total = g.copy()
+                for t in (0, 1, 2):
+                    total = total * (np.prod(like[state.factor == t], axis=0) @ u)
+                p[k] = total.sum()
+        pairs = list(itertools.combinations(range(6), 2))
+        f = np.column_stack([patterns, *(patterns[:, i] * patterns[:, j] for i, j in pairs)])
+        mean = p @ f
+        cov = (f * p[:, None]).T @ f - np.outer(mean, mean)
+        from respan.irt.m2 import Margins
+
+        m = Margins(state)
+        assert np.allclose(m.single, mean[:6]) and np.allclose([m.pair[i, j] for i, j in pairs], mean[6:])
+        for column in range(f.shape[1]):
+            x = np.zeros(f.shape[1])
+            x[column] = 1
+            table = np.zeros((6, 6))
+            for (i, j), value in zip(pairs, x[6:]):
+                table[i, j] = table[j, i] = value
+            v, t = m.covariance(x[:6], table)
+            assert np.allclose(np.concatenate([v, [t[i, j] for i, j in pairs]]), cov[column])
+        y = patterns[rng.choice(64, 3000)]
+        delta = m.jacobian()
+        r = np.concatenate([y.mean(0), [(y[:, i] * y[:, j]).mean() for i, j in pairs]]) - mean
+        inv = np.linalg.inv(cov)
+        want = 3000 * (r @ inv @ r - r @ inv @ delta @ np.linalg.solve(delta.T @ inv @ delta, delta.T @ inv @ r))
+        assert quadratic_form(y.T @ y / 3000, 3000, state)["M2"] == pytest.approx(want, rel=1e-6)
+
+
+def test_m2_of_a_whole_bank(spark):
+    """Complete answers to 180 items: a statistic, no cap."""
+    from respan.irt.m2 import m2_stats
+    from respan.irt.model import start_state
+
+    rng = np.random.default_rng(6)
+    theta = rng.normal(size=(300, 1))
+    y = (rng.random((300, 180)) < 1 / (1 + np.exp(-theta))).astype(int)
+    items = [f"i{k:03d}" for k in range(180)]
+    rows = [(f"p{i}", items[k], int(y[i, k])) for i in range(300) for k in range(180)]
+    resp = spark.createDataFrame(rows, "global_id string, QID string, response int")
+    row = m2_stats(resp, start_state("rasch", items)).first()
+    assert row.reason is None and row.df_M2 == 180 * 181 / 2 - 181 and row.RMSEA_M2 < 0.05
+
+
+def test_more_items_than_a_block(spark):
+    """6,000 items: every block is updated, and the likelihood rises."""
+    from respan.irt.fit import fit_irt
+
+    rng = np.random.default_rng(7)
+    rows = [(f"p{i:03d}", f"i{k:04d}", int(rng.random() < 0.3 + 0.4 * (i % 2))) for i in range(120) for k in range(i % 3, 6000, 3)]
+    resp = spark.createDataFrame(rows, "global_id string, QID string, response int")
+    model = fit_irt(resp, "2pl", max_iter=3)
+    assert len(model.state.items) > 5000 and all(b > a for a, b in zip(model.history, model.history[1:]))
+
+
+def test_fit_of_nothing_and_of_wrong_answers(spark):
+    from respan.irt.fit import fit_irt
+    from respan.operators.quality import GateError
+
+    none = spark.createDataFrame([], "global_id string, QID string, response int")
+    row = fit_irt(none, "2pl").fit.first()
+    assert row.n_items == 0 and row.logLik is None and not row.converged
+    with pytest.raises(GateError):
+        fit_irt(spark.createDataFrame([("p", "i", 2)], "global_id string, QID string, response int"), "2pl")
