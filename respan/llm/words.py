@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, types as T
 _BASE = 0x9E3779B97F4A7C55
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-CHUNK_BYTES = 1 << 21  # rows are worked on in slices of about this many bytes; a longer text is one slice
+CHUNK_BYTES = 1 << 19  # rows are worked on in slices of about this many bytes; a longer text is one slice
 
 
 def white_space_words() -> tuple[np.ndarray, np.ndarray]:
