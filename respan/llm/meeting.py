@@ -99,6 +99,21 @@ def _replies(e: Entries) -> list[tuple[int, int, bytes]]:
     return [(*e.docs[row[a]].tolist(), place[a:b].tobytes()) for a, b in zip(cut, ends)]
 
 
+def _told(e: Entries, keys: np.ndarray) -> list[tuple[int, bytes]]:
+    """Answers packed for the partitions that gather them by document."""
+    to = (e.docs[:, 0] % len(keys))[e.row]
+    order = np.lexsort((e.place, e.row, to))
+    e, cuts = e.take(order), np.searchsorted(to[order], np.arange(len(keys) + 1))
+    spans = [(d, slice(a, z)) for d, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
+    return [(int(keys[d]), _pack(e.take(at), e.hash[at], 0)) for d, at in spans]
+
+
+def _by_document(told: list[bytes]) -> list[tuple[int, int, bytes]]:
+    e = joined([_unpack(x, 0) for x in told])
+    docs, row = np.unique(e.docs, axis=0, return_inverse=True)
+    return _replies(e._replace(docs=docs, row=row.reshape(-1)[e.row]))
+
+
 def bucket_keys(spark: SparkSession, n: int) -> list[int]:
     """A key for each of ``n`` partitions, so that a repartition by key gives each partition one range."""
     found: dict[int, int] = {}
@@ -128,13 +143,12 @@ def meet(
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = np.array(bucket_keys(rows.sparkSession, n))
-    schema = T.StructType.fromDDL(f"bucket int, payload binary, {REPLY}")
-    types = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    sent = T.StructType.fromDDL("bucket int, payload binary, gather int, told binary")
+    types = [pa.int32(), pa.binary(), pa.int32(), pa.binary()]
 
-    def batch_of(packed: list, replies: list) -> pa.RecordBatch:
-        rows_ = [(*p, None, None, None) for p in packed] + [(int(keys[i % n]), None, *r) for i, r in enumerate(replies)]
-        cols = zip(*rows_) if rows_ else [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], schema.names)
+    def batch_of(rows_: list) -> pa.RecordBatch:
+        cols = zip(*rows_) if rows_ else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], sent.names)
 
     def send(batches: Iterator[pa.RecordBatch]):
         of_batch, held, size = entries(), [], 0
@@ -148,7 +162,7 @@ def meet(
             cuts = np.searchsorted((scaled >> np.uint64(48))[order], np.arange(n + 1, dtype=np.uint64))
             spans = [(b, slice(a, z)) for b, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
             packed = [(int(keys[b]), _pack(rest.take(at), key[at], 8 if exact else 4)) for b, at in spans]
-            return batch_of(packed, _replies(known))
+            return batch_of([(*x, None, None) for x in packed] + [(int(keys[i % n]), None, *x) for i, x in enumerate(_told(known, keys))])
 
         for batch in batches:
             for e in of_batch(batch):
@@ -163,14 +177,17 @@ def meet(
     def answer(batches: Iterator[pa.RecordBatch]):
         held = []
         for batch in batches:
-            told = batch.filter(pc.is_valid(batch.column("doc_id")))
-            if told.num_rows:
-                yield told.select(["doc_id", "mark", "places"])
+            yield batch.filter(pc.is_valid(batch.column("told")))
             held += [_unpack(x, 8 if exact else 4) for x in batch.column("payload").drop_null().to_pylist()]
         if held:
-            replies = _replies(decide(joined(held)))
-            for a in range(0, len(replies), 10_000):
-                cols = zip(*replies[a : a + 10_000])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types[2:])], ["doc_id", "mark", "places"])
+            yield batch_of([(None, None, *x) for x in _told(decide(joined(held)), keys)])
+
+    def gather(batches: Iterator[pa.RecordBatch]):
+        told = [x for batch in batches for x in batch.column("told").to_pylist()]
+        replies = _by_document(told) if told else []
+        for a in range(0, len(replies), 10_000):
+            cols = zip(*replies[a : a + 10_000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "mark", "places"])
 
-    return rows.mapInArrow(send, schema).repartition(n, "bucket").mapInArrow(answer, REPLY)
+    told = rows.mapInArrow(send, sent).repartition(n, "bucket").mapInArrow(answer, sent)
+    return told.select("gather", "told").repartition(n, "gather").mapInArrow(gather, REPLY)
