@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from respan.functions.columns import pair_difference
-from respan.operators.quantiles import exact_quantiles
+from respan.operators.quantiles import exact_quantiles, per_group
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -159,7 +159,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str | None = None) -> Data
     long = unpivot_numbers(df, cols, [by] if by else []).filter(F.col("value").isNotNull())
     q = exact_quantiles(long, keys, "value", QUARTILES)
     iqr = F.col("q3") - F.col("q1")
-    fences = q.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
+    fences = per_group(q).withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
     v = F.col("value")
     inside = v.between(F.col("_lo"), F.col("_hi"))
     on = [F.col(f"l.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]

@@ -13,6 +13,20 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 SKETCH_ACCURACY = 10_000
 SMALL_GROUP = 100_000  # at most this many rows: order the whole group
+BROADCAST_GROUPS = 10_000  # a table of one row per group is broadcast up to this many groups
+
+
+def per_group(table: DataFrame) -> DataFrame:
+    """A table of one row per group, for a join with the data: computed now and broadcast if it is small.
+
+    Spark cannot know that an aggregate over a few variables has a few rows, and would shuffle the
+    data by group, all rows of a variable into one task.  Beyond BROADCAST_GROUPS groups the table
+    is returned as it is.
+    """
+    rows = table.limit(BROADCAST_GROUPS + 1).collect()
+    if len(rows) > BROADCAST_GROUPS:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
 
 
 def exact_quantiles(
@@ -26,6 +40,7 @@ def exact_quantiles(
 
     The sketch is off by at most n / SKETCH_ACCURACY ranks, so four of those on either side
     hold the wanted ranks once n is above ``small_group``.  Values below the bracket are only counted.
+    The sketch pass runs at once.
     """
     names, ps = list(probs), list(probs.values())
     margin = 4.0 / SKETCH_ACCURACY
@@ -42,6 +57,7 @@ def exact_quantiles(
     ends = rows.groupBy(*keyed).agg(
         F.count("*").alias("_n"), sketch(-1).alias("_lo"), sketch(1).alias("_hi")
     )
+    ends = per_group(ends)
     small = F.col("_n") <= small_group
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keyed]
     v = F.col("_v")

@@ -94,3 +94,18 @@ def test_exact_quantiles(spark, small_group):
         assert np.allclose([got[k][p] for p in probs], np.quantile(mine, list(probs.values())), atol=1e-12)
     whole = exact_quantiles(df, [], "v", {"m": 0.5}, small_group).collect()[0]["m"]
     assert abs(whole - np.median(v)) < 1e-12
+
+
+def test_quantiles_shuffle_no_data_by_variable(spark):
+    from respan.operators.describe import box_stats, numeric_descriptives
+
+    df = spark.range(20_000).selectExpr("id % 7 as a", "id % 11 as b", "id % 3 as g")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        for out in (numeric_descriptives(df, ["a", "b"]), box_stats(df, ["a", "b"], "g")):
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            joins = [line for line in plan.splitlines() if "Join" in line and "Inner" in line]
+            assert joins and all("broadcast" in line for line in joins), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
