@@ -277,7 +277,7 @@ def valid_ids(fx):
     return known.unionByName(rows.filter_not_in(review, "human_final_qid", keys).withColumn("kind", F.lit("unknown")))
 
 
-@query("""with bankkeys as (select lower(trim(regexp_replace(stem, '\\s+', ' ', 'g'))) as k, d, min(QID) as exact_QID from (select stem, QID, unnest(list_distinct(['', lower(coalesce(domain, ''))])) as d from fx_bank) b group by 1, 2),
+MATCH_SQL = """with bankkeys as (select lower(trim(regexp_replace(stem, '\\s+', ' ', 'g'))) as k, d, min(QID) as exact_QID from (select stem, QID, unnest(list_distinct(['', lower(coalesce(domain, ''))])) as d from fx_bank) b group by 1, 2),
 staged as (select t.*, b.exact_QID from fx_template t left join bankkeys b on lower(trim(regexp_replace(t.stem, '\\s+', ' ', 'g'))) = b.k and lower(coalesce(t.domainId, '')) = b.d),
 pairs as (select s.source_name, s.question_id, b.QID, jaro_similarity({one}s.stem{byte}, {one}b.stem{byte}) as sim, levenshtein({one}s.stem{byte}, {one}b.stem{byte}) as lev
  from staged s join fx_bank b on s.domainId is null or s.domainId = '' or lower(s.domainId) = lower(b.domain) where s.exact_QID is null and s.stem <> ''),
@@ -286,12 +286,25 @@ fixed as (select source_name, question_id, 'Q001s1' as QID from fx_template wher
 select s.source_name, s.question_id, s.domainId, s.stem, coalesce(s.exact_QID, case when 1 - n.sim <= 0.35 then n.QID end, f.QID) as QID,
  case when s.exact_QID is not null then 'exact' when 1 - n.sim <= 0.35 then 'fuzzy' when f.QID is not null then 'manual_repair' end as match_method,
  case when s.exact_QID is null and 1 - n.sim <= 0.35 then round(1 - n.sim, 6) end as string_distance
-from staged s left join near n using (source_name, question_id) left join fixed f using (source_name, question_id)""".replace("{one}", ONE_BYTE[0]).replace("{byte}", ONE_BYTE[1]))
+from staged s left join near n using (source_name, question_id) left join fixed f using (source_name, question_id)""".replace("{one}", ONE_BYTE[0]).replace("{byte}", ONE_BYTE[1])
+
+
+@query(MATCH_SQL)
 def match_items(fx):
     repairs = fx.template.filter("source_name = 'conv_system'").select("source_name", "question_id", F.lit("Q001s1").alias("QID"))
     return matching.match_items(fx.template, fx.bank, repairs, 0.35)
 
 
+@query(f"""select source_name, question_id, QID, string_distance, case when match_method is null then 'unmatched_after_exact_fuzzy'
+  when match_method = 'fuzzy' then 'high_distance_fuzzy_match' else 'manual_repair_secondary_check' end as audit_reason from ( {MATCH_SQL} ) m
+ where match_method is null or match_method = 'manual_repair' or match_method = 'fuzzy' and string_distance >= 0.08""")
+def cases_after_matching(fx):
+    """Staged identity, its three outputs, and the cases to audit."""
+    repairs = fx.template.filter("source_name = 'conv_system'").select("source_name", "question_id", F.lit("Q001s1").alias("QID"))
+    unmatched, fuzzy, manual = matching.staged_outputs(matching.match_items(fx.template, fx.bank, repairs, 0.35))
+    return matching.audit_cases(unmatched, fuzzy, manual).select("source_name", "question_id", "QID", "string_distance", "audit_reason")
+
+
 @query("select a.global_id as survivor_id, b.global_id as matched_id, a.cohort as survivor_cohort, b.cohort as matched_cohort from fx_cohorts a join fx_cohorts b on a.source_id = b.source_id and a.cohort = 'main' and b.cohort = 'trial'")
 def duplicate_pairs(fx):
     unknown = fx.cohorts.filter("cohort = 'main'").select(F.concat(F.lit("N"), "global_id").alias("global_id"), "source_id", F.lit(None).cast("string").alias("cohort"))

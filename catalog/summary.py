@@ -378,3 +378,35 @@ def binned_trend(fx):
  select {_bin('theta_rasch', 'xl', 'xh', 50)} as x_bin, {_bin('theta_bif', 'yl', 'yh', 50)} as y_bin, count(*) as n from fx_scores, e group by 1, 2""")
 def bin_2d(fx):
     return ds.bin_2d(fx.scores, "theta_rasch", "theta_bif")
+
+
+# ---- flows ---------------------------------------------------------------
+
+@query("""select c.global_id, c.source_id, c.cohort, coalesce(c.age, m.age) as age, coalesce(c.gender, m.gender) as gender, c.transfer
+ from fx_cohorts c left join fx_cohorts m on m.cohort = 'trial' and m.source_id = c.source_id where c.cohort = 'main'""")
+def prepare_flow(fx):
+    from respan.plans import flows
+
+    spec = {"global_id": "string", "source_id": "string", "cohort": "string", "age": "int", "gender": "string", "transfer": "string"}
+    main, trial = (fx.cohorts.filter(F.col("cohort") == c) for c in ("main", "trial"))
+    return flows.prepare_flow(main, trial, spec, ("source_id",), ("age", "gender"), "cohort")
+
+
+@query("""select 'age' as variable, count(age) as n, round(avg(age),6) as mean, round(quantile_cont(age, 0.5),6) as median from or_numbers
+ union all select 'readTime', count(readTime), round(avg(readTime),6), round(quantile_cont(readTime, 0.5),6) from or_numbers""")
+def describe_flow(fx):
+    from respan.plans import flows
+
+    told = flows.describe_flow(fx.response, respondents(fx), ("college", "gender"), ("age", "readTime"))
+    return told.numbers.select("variable", "n", "mean", "median")
+
+
+@query("select 'bifactor' as model, 3 as n_models, count(*) as n_items from fx_params where a >= 1 group by all")
+def trimmed_comparison_flow(fx):
+    """Models on the items of high slope; the row tells the best by log-likelihood, and how many items all had."""
+    from respan.plans import flows
+
+    kept = fx.params.filter("a >= 1").select("QID")
+    done = flows.trimmed_comparison_flow(fx.response, fx.respondent, kept, tol_loglik=1e-4)
+    fit = done.comparison.fit
+    return fit.agg(F.max_by("model", "logLik").alias("model"), F.count("*").cast("int").alias("n_models"), F.max("n_items").cast("long").alias("n_items"))

@@ -1,11 +1,13 @@
 """Shared scratch storage: cutting lineage and writing intermediate tables.
 
 A cluster names its shared folder in ``spark.checkpoint.dir``.  Only a local
-session (tests, bench) may fall back to a temporary folder of this machine.
+session without that setting (tests, bench) gets a temporary folder of this machine, removed at its end.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,7 +26,9 @@ def scratch_root(spark: SparkSession) -> str:
     if current is None:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="respan-"))
+        own = tempfile.mkdtemp(prefix="respan-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         current = sc.getCheckpointDir()
     return current
 

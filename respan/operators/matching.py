@@ -345,3 +345,9 @@ def match_items(
         .when(repair.isNotNull(), "manual_repair").alias("match_method"),
         F.when(fuzzy.isNotNull(), distance).alias("string_distance"),
     )
+
+
+def staged_outputs(matched: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables that ``audit_cases`` takes: unmatched, fuzzy to review, and after manual repair."""
+    method = F.col("match_method")
+    return matched.filter(method.isNull()), matched.filter(method == "fuzzy"), matched.filter(method == "manual_repair")

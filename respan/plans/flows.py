@@ -1,4 +1,4 @@
-"""The three end-to-end flows, composed from the operators."""
+"""The end-to-end flows, composed from the operators."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from respan.functions.qid import item_lookup
-from respan.irt.fit import FittedModel, factor_map, fit_irt, fit_table, item_params, prepare, score_eap
-from respan.operators import compare, matching
+from respan.irt.fit import FittedModel, factor_map, fit_irt, fit_table, item_params, lrt, prepare, score_eap
+from respan.irt.m2 import model_stats
+from respan.operators import compare, dedupe, describe, matching, rows
 from respan.operators.counts import item_counts, item_sample_size
 from respan.operators.quality import clean_review
 from respan.operators.rows import restrict_items, with_row_id
@@ -64,12 +65,12 @@ MODEL_PAIRS = {
 }
 
 
-def compare_flow(resp: DataFrame, covars: DataFrame, how: str = "blocks", **fit_options) -> ModelComparison:
+def compare_flow(resp: DataFrame, covars: DataFrame, how: str = "blocks", packed=None, **fit_options) -> ModelComparison:
     """Fit the three models, and put their scores side by side with the covariates.
 
-    The responses are packed once for all fits and scores.
+    The responses are packed once for all fits and scores (or given as ``packed``).
     """
-    packed = prepare(resp)
+    packed = packed or prepare(resp)
     factors = factor_map(resp, how)
     models = {k: fit_irt(packed, k, factors, **fit_options) for k in ("rasch", "2pl", "bifactor")}
     scores = [
@@ -101,3 +102,63 @@ def trim_flow(
     model = fit_irt(pool, "2pl", name="2pl_trimmed", **fit_options)
     scores = compare.compare_scores(covars, score_eap(resp, full), score_eap(pool, model))
     return Trimmed(diag, kept, dropped, model, scores)
+
+
+@dataclass
+class TrimmedComparison:
+    comparison: ModelComparison
+    ranks: DataFrame
+    tests: DataFrame
+    stats: DataFrame
+    correlations: DataFrame
+    differences: DataFrame
+    subgroups: DataFrame
+
+
+def trimmed_comparison_flow(
+    resp: DataFrame, covars: DataFrame, kept: DataFrame, subgroups: tuple[str, ...] = ("gender", "military", "pell"),
+    how: str = "qid", **fit_options,
+) -> TrimmedComparison:
+    """The three models on the retained items: fits, ranks, tests, statistics, and how the scores differ."""
+    pool = restrict_items(resp, kept)
+    packed = prepare(pool)
+    done = compare_flow(pool, covars, how, packed=packed, **fit_options)
+    pairs = {name: f"absdiff_{name}" for name in MODEL_PAIRS}
+    tests = lrt(done.fit, "rasch", "2pl").unionByName(lrt(done.fit, "2pl", "bifactor"))
+    return TrimmedComparison(
+        done,
+        compare.rank_models(done.fit, "AIC", "BIC"),
+        tests,
+        model_stats(packed, list(done.models.values())),
+        describe.pairwise_corr(done.scores, MODEL_PAIRS),
+        describe.diff_summary(done.scores, pairs),
+        describe.by_group(done.scores, subgroups, {f"mean_{k}": v for k, v in pairs.items()}),
+    )
+
+
+def prepare_flow(
+    first: DataFrame, second: DataFrame, spec: dict[str, str], keys: tuple[str, ...], patch: tuple[str, ...],
+    cohort: str = "wave", key: str = "global_id",
+) -> DataFrame:
+    """Two waves to one respondent table: stack, find duplicates, fill the survivors, drop the copies, finalise."""
+    both = rows.stack_waves(first, second, spec)
+    pairs = dedupe.duplicate_pairs(both, keys, cohort, key)
+    filled = dedupe.patch_rows(both, pairs, patch, key)
+    left = dedupe.remove_rows(filled, pairs.select(pairs["matched_id"].alias(key)), key)
+    return rows.final_dataset(left) if "college" in left.columns else left
+
+
+@dataclass
+class Description:
+    categories: DataFrame
+    numbers: DataFrame
+    report: DataFrame
+
+
+def describe_flow(resp: DataFrame, covars: DataFrame, categories: tuple[str, ...], numbers: tuple[str, ...]) -> Description:
+    """A prepared respondent table and its responses: levels, numbers and the item-selection report."""
+    return Description(
+        describe.categorical_descriptives(covars, list(categories)),
+        describe.numeric_descriptives(covars, list(numbers)),
+        selection_flow(resp, covars),
+    )

@@ -14,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.LLM_QUERIES) - SLOW))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
