@@ -10,6 +10,7 @@ from respan.llm.binids import read_digests, write_ids
 from respan.llm.decontaminate import mark_contamination
 from respan.llm.jaccard import jaccard_components
 from respan.llm.linededup import remove_lines
+from respan.llm.oracles import CONTAMINATION, NEAR_COPIES, REPEATS, SECRETS
 from respan.llm.pieces import piece_digests
 from respan.llm.pii import find_pii
 from respan.llm.repetition import measure_quality
@@ -83,4 +84,10 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+#: The others have no SQL: they are checked against the libraries, plain versions and held-out labels in tests/llm.
+ORACLES: dict[str, str] = {
+    "op1_decontamination": CONTAMINATION,
+    "op2_secrets": SECRETS,
+    "op8_substring_dedup": REPEATS,
+    "op9_jaccard_join": NEAR_COPIES,
+}
