@@ -112,9 +112,10 @@ def _sequence(nodes) -> set[str] | None:
 
 def trigram_index(rows: DataFrame, trigrams: list[str], row: str = "row", text: str = "text") -> DataFrame:
     """(trigram, row): the inverted index of ``text``, for the trigrams that queries ask for."""
-    low = F.lower(text)
-    held = F.filter(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull())
-    return rows.select(F.explode(held).alias("trigram"), F.col(row).alias("row")).distinct()
+    # lower-cased once, in a projection of its own, for all trigrams
+    low = rows.select(F.col(row).alias("row"), F.lower(text).alias("low"))
+    held = F.filter(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull())
+    return low.select(F.explode(held).alias("trigram"), "row").distinct()
 
 
 def _holds(query, held: Column) -> Column:
