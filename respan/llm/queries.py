@@ -68,7 +68,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir))
+    """The rows of its SQL; every link is written on the way, see op9_jaccard_links for their numbers."""
+    return jaccard_components(documents(spark, sf_dir), count_links=True).drop("n_links")
+
+
+def op9_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), count_links=True)
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +85,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op2_secrets, op3_quality_rules, op4_toxicity, op5_pii, op6_line_dedup, op7_sentencepiece, op8_substring_dedup, op9_jaccard_join, op10_token_ids,
+        op1_decontamination, op2_secrets, op3_quality_rules, op4_toxicity, op5_pii, op6_line_dedup, op7_sentencepiece, op8_substring_dedup, op9_jaccard_join, op9_jaccard_links, op10_token_ids,
     )
 }
 

@@ -1,10 +1,11 @@
 """Operators that compare texts, and the pipeline, against plain versions."""
 
+import collections
 import random
 
 import pytest
 
-from brute import SF, contamination, linked, quality, removed_lines, sha, without_repeats
+from brute import LOWER, SF, contamination, linked, near, quality, removed_lines, sha, shingles, white_words, without_repeats
 from respan.llm import queries
 
 
@@ -50,6 +51,23 @@ def test_near_copies_when_all_lists_are_long(spark, table, copies, monkeypatch):
     assert got == linked(copies)
 
 
+def test_every_link_is_counted(spark, table, copies, monkeypatch):
+    """All links between different texts, also inside a component that a few of them connect."""
+    from respan.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    sets = {i: shingles(white_words((t or "").translate(LOWER))) for i, t in copies}
+    first = {s: min(i for i in sets if sets[i] == s) for s in sets.values() if s}
+    ids = sorted(first.values())
+    want = {(a, b) for a in ids for b in ids if a < b and near(sets[a], sets[b])}
+    got = [tuple(r) for r in jaccard.jaccard_links(table(copies)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    number = collections.Counter(x for pair in want for x in pair)
+    assert len(want) > 1.5 * len(number)  # a tree of each component has fewer
+    rows = jaccard.jaccard_components(table(copies), count_links=True).collect()
+    assert {r.doc_id: r.n_links for r in rows} == {i: number[first[s]] if s else 0 for i, s in sets.items()}
+
+
 def test_bits_never_rule_out_a_link():
     import numpy as np
     from respan.llm.jaccard import _bits, _may_link, reaches
