@@ -1,6 +1,7 @@
 """Operators that look at one text at a time, against plain versions."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from brute import SF, contamination, private, quality, secrets, sha
+from brute import SF, contamination, luhn, private, quality, secrets, sha
 from respan.llm import queries
 
 ODD = [
@@ -118,6 +119,40 @@ def test_toxicity(spark, table):
     assert [r.score for r in toxicity.score_toxicity(probe.limit(1), empty).collect()] == [0.5]
 
 
+def test_obfuscated_personal_data(spark, table):
+    """Forms that the exact rules miss are added; numbers and words that only look alike are not."""
+    from respan.llm.pii import find_pii
+
+    rng = random.Random(7)
+
+    def card():
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+    def digits(n):
+        return "".join(rng.choice("123456789") for _ in range(n))
+
+    docs, planted, decoys = [], {}, {}
+    for i in range(600):
+        name, host = f"n{digits(3)}", f"h{digits(2)}.example.org"
+        plain = [f"please mail {name}@{host} soon", f"phone +{digits(2)} {digits(3)} {digits(5)} today", f"card {card()} paid"]
+        odd = [f"order {digits(10)} shipped", f"see user{i}@local now", f"serial {digits(4)}.{digits(4)}.{digits(4)}.{digits(4)} end"]
+        docs.append((i, f"{rng.choice(plain)} and {rng.choice(odd)} with {rng.choice(plain)}"))
+    for i in range(1000, 1030):
+        c = card()
+        form = (f"n{digits(3)} [at] h{digits(2)}.example.org", f"{digits(2)} {digits(3)} {digits(5)}", ".".join(c[j : j + 4] for j in range(0, 16, 4)))[i % 3]
+        lead = ("please mail ", "phone ", "card ")[i % 3]
+        docs.append((i, f"{lead}{form} today"))
+        planted[i] = f"{('email', 'phone', 'card')[i % 3]}:{len(lead)}:{len(lead + form)}"
+    for i in range(2000, 2030):
+        docs.append((i, (f"order {digits(10)} shipped", f"see user{i}@local now")[i % 2]))
+        decoys[i] = ""
+    rows = {r.doc_id: r for r in find_pii(table(docs)).collect()}
+    missed = {i: rows[i].spans for i, span in planted.items() if span not in rows[i].spans.split(",")}
+    assert not missed and {i: rows[i].spans for i in decoys} == decoys
+    assert all((r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == private(dict(docs)[i]) for i, r in rows.items())
+
+
 def test_pieces(spark, table):
     import sentencepiece
     from respan.llm.pieces import decode_pieces, encode_pieces, piece_digests
