@@ -45,6 +45,16 @@ gone as (select doc_id, list(distinct p) as ps from (select doc_id, unnest(range
 select doc_id, len(w)::bigint as n_words, coalesce(len(ps), 0)::bigint as n_removed,
  sha256(coalesce(array_to_string(list_filter(w, lambda x, i: not list_contains(coalesce(ps, []), i)), ' '), '')) as kept_sha256 from d left join gone using (doc_id)"""
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RANKED = rf"""with t as (select row_number() over () as r, doc_id, regexp_extract_all({LOWER}, '{TERM}') as w from documents),
+d as (select r, doc_id, len(w)::bigint as n from t where len(w) > 0), c as (select count(*)::bigint as nn, sum(n)::bigint as ll from d),
+p as (select r, term, count(*)::bigint as tf from (select r, unnest(w) as term from t) x group by r, term),
+q as (select distinct item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) as term from benchmark),
+f as (select term, cast(floor(1000 * ln((2 * nn + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w from p, c where term in (select term from q) group by term, nn),
+s as (select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::bigint as score from q join f using (term) join p using (term) join d using (r), c group by item_id, r, doc_id),
+k as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank from s where score > 0)
+select item_id, rank::int as rank, doc_id, score from k where rank <= 10"""
+
 NEAR_COPIES = f"""with recursive d as (select doc_id, regexp_extract_all({LOWER}, '{WHITE}') as w from documents),
 s as (select distinct doc_id, k from (
  select doc_id, array_to_string(w[i:i + 4], ' ') as k from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from d) x union all select doc_id, array_to_string(w, ' ') from d where len(w) between 1 and 4) y),

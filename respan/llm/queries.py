@@ -9,14 +9,17 @@ from respan.lineage import scratch_path
 from respan.llm.binids import read_digests, write_ids
 from respan.llm.decontaminate import mark_contamination
 from respan.llm.jaccard import jaccard_components
+from respan.llm.lexsearch import build_index, search
 from respan.llm.linededup import remove_lines
-from respan.llm.oracles import CONTAMINATION, NEAR_COPIES, REPEATS, SECRETS
+from respan.llm.oracles import CONTAMINATION, NEAR_COPIES, RANKED, REPEATS, SECRETS
 from respan.llm.pieces import piece_digests
 from respan.llm.pii import find_pii
 from respan.llm.repetition import measure_quality
 from respan.llm.secrets import find_secrets
 from respan.llm.substrings import remove_repeats
 from respan.llm.toxicity import SAMPLE_ROWS, fit_toxicity, labelled_sample, score_toxicity
+from respan.llm.urlfilter import Rule, fit_urls, fitting_rule, judge_urls, url_host, url_path
+from respan.llm.whitening import fit_whitening, whiten
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,10 +85,38 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = search(build_index(docs), items, docs.schema["doc_id"].dataType)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+URL_RULES = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages carry no labels: what the rules decide are the labelled urls."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    decided = fitting_rule(url_host(F.col("url")), url_path(F.col("url")), URL_RULES)[1]
+    model = fit_urls(pages.select("url", (decided == "block").alias("blocked")))
+    return judge_urls(pages, model, URL_RULES, keep=["page_id"])
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    model = fit_whitening(vectors)
+    rows = whiten(vectors, model, keep=["vec_id"]).select("vec_id", "deviation", F.posexplode("whitened").alias("i", "whitened"))
+    n, shares, error = (0, [], 0.0) if model is None else (model.n, [float(v / model.trace) if model.trace else 0.0 for v in model.values], model.identity_error)
+    explained = F.get(F.array(*[F.lit(s) for s in shares]).cast("array<double>"), F.col("i"))
+    return rows.select("vec_id", (F.col("i") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened", explained.alias("explained"), F.lit(error).alias("identity_error"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_secrets, op3_quality_rules, op4_toxicity, op5_pii, op6_line_dedup, op7_sentencepiece, op8_substring_dedup, op9_jaccard_join, op9_jaccard_links, op10_token_ids,
+        op11_ranked_search, op12_url_filter, op13_embedding_whitening,
     )
 }
 
@@ -95,4 +126,5 @@ ORACLES: dict[str, str] = {
     "op2_secrets": SECRETS,
     "op8_substring_dedup": REPEATS,
     "op9_jaccard_join": NEAR_COPIES,
+    "op11_ranked_search": RANKED,
 }
