@@ -10,6 +10,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,12 +34,47 @@ def scratch_root(spark: SparkSession) -> str:
     return current
 
 
+_noted: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for notes in _noted:
+        notes.append(path)
+    return path
+
+
+@contextmanager
+def noted_scratch():
+    """Collects the paths handed out inside, for ``drop_scratch`` once nothing reads them any more."""
+    notes: list[str] = []
+    _noted.append(notes)
+    try:
+        yield notes
+    finally:
+        _noted.remove(notes)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that are over.
+
+    Spark deletes them when the driver has collected the last reference to a step, which a driver with a
+    large heap hardly ever does by itself; a job of many written steps would hold all of their files at once.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a table or folder below the shared folder, by Spark's own file system; a path elsewhere is refused."""
+    root = scratch_root(spark).rstrip("/") + "/"
+    if not path.startswith(root):
+        raise ValueError(f"{path} is not below {root}")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
