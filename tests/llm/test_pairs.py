@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from brute import LOWER, SF, contamination, linked, near, quality, removed_lines, sha, shingles, white_words, without_repeats
 from respan.llm import queries
 
@@ -132,6 +134,16 @@ def test_similar_lines(spark, table):
     rows = sorted(((r.doc_id or 0, r.text, r.n_lines, r.n_removed) for r in remove_lines(odd).collect()), key=str)
     assert rows == sorted([(1, None, 0, 0), (0, "a b c", 1, 0), (2, "a b c", 1, 0), (3, "x", 2, 1), (3, "x", 2, 1), (4, "", 1, 1)], key=str)
     assert remove_lines(odd.limit(0)).isEmpty()
+    assert remove_lines(odd.withColumns({c: F.lit("x") for c in ("n_lines", "n_removed", "rows", "m", "i", "e", "tokens")})).where("n_removed > 0").count() == 3
+    # one key, many texts: no text loses a line for another's sake
+    many = [(1, "keep42256 x y")] + [(2, f"keep{k} x y\nother{k} z w\nkeep42256 x y") for k in range(3000)]
+    rows = remove_lines(table(many)).collect()
+    assert len(rows) == len(many) and all(r.n_removed == (r.doc_id == 2) and ("keep42256 x y" in r.text) == (r.doc_id == 1) for r in rows)
+    assert {r.text for r in rows} == {t.removesuffix("\nkeep42256 x y") for _, t in many}
+    # very long texts: many lines, and a line of many words
+    block = [f"line {k} of many that are not alike {k * 7919}" for k in range(20_000)]
+    long = [(1, "\n".join(block)), (2, "\n".join(["only here", *block])), (3, " ".join(f"w{k}" for k in range(60_000))), (4, "\n".join([" ".join(f"w{k}" for k in range(59_000)), "only there"]))]
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in remove_lines(table(long)).collect()} == {1: (20_000, 0, long[0][1]), 2: (20_001, 20_000, "only here"), 3: (1, 0, long[2][1]), 4: (2, 1, "only there")}
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in queries.op6_line_dedup(spark, SF).collect()}
     assert got == {i: (n, gone, sha(t)) for i, (n, gone, t) in removed_lines(documents(spark)).items()}
 
@@ -152,8 +164,43 @@ def test_pipeline(spark):
     bank = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     docs = [d for d, c in zip(docs, contamination(docs, bank)) if c[2] == 0]
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, SF).collect()}
-    assert got == {i: library.encode(t, add_bos=True, add_eos=True) for i, t in docs}
+    got = {r.doc_id: (r.ids, r.decoded) for r in corpus_pipeline.run(spark, SF).collect()}
+    want = {i: library.encode(t, add_bos=True, add_eos=True) for i, t in docs}
+    assert got == {i: (ids, library.decode(ids)) for i, ids in want.items()}
     raw = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, raw.limit(0), SF).columns == raw.columns
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and repeated texts, and columns named like the operators' own, stage by stage."""
+    import corpus_pipeline
+
+    good = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"thing{i}" for i in range(80))
+    rows = [(1, None), (2, ""), (None, good), (3, good), (3, good), (4, other + "\n" + good), (5, "too short"), (6, good + " more")]
+    clashing = {c: F.lit(f"own {c}") for c in ("n_words", "kept", "items", "n_hit", "hits", "ids", "decoded", "begins", "n_lines", "n_removed", "component_id", "n_shingles", "rows", "m", "d", "gone")}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").withColumns(clashing)
+    bank = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    docs = docs.union(docs.where("doc_id = 5").withColumn("doc_id", F.lit(7)).withColumn("text", F.lit(other.replace("thing", "x") + " " + bank[0])))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name, given):
+        out = stages[name](spark, given, SF)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == docs.columns
+            assert all(r[c] == f"own {c}" for r in out.collect() for c in clashing)
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str) if "text" in out.columns else out.collect()
+
+    held = bank[0]
+    assert after("quality rules", docs) == sorted([x for x in rows if x[1] and len(x[1].split()) >= 50] + [(7, other.replace("thing", "x") + " " + held)], key=str)
+    left = dict(rows) | {7: other.replace("thing", "x") + " " + held}
+    lines = after("line dedup", docs)
+    assert (None, good) in lines and (1, None) in lines and (2, "") in lines and lines.count((3, good)) == 2
+    assert (4, other) in lines and (6, "") in lines and len(lines) == len(rows) + 1
+    near = after("n-gram Jaccard join", docs)
+    assert near == sorted([x for x in rows if x[0] != 6] + [(7, left[7])], key=str)
+    assert after("benchmark decontamination", docs) == sorted(rows, key=str)
+    ids = after("SentencePiece encoding and decoding", docs)
+    assert len(ids) == len(rows) + 1 and all(len(r.ids) == 2 and r.decoded == "" for r in ids if r.doc_id in (1, 2))
+    assert {r.decoded for r in ids if r.doc_id == 3} == {good}
