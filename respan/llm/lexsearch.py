@@ -26,7 +26,8 @@ SHARD_BYTES = 12 << 20  # of text
 SHARD_DOCUMENTS = 8192
 BLOCK_ITEMS = 512  # items that a task searches for in a shard
 TOP = 10
-_SALTS = 32  # over which the lists of one term are dealt
+SMALL_TERMS = 200_000  # rows of wanted terms that are broadcast; more are joined by shuffles
+_SALTS = 32  # over which the lists of one term are then dealt
 _INDEX = "shard long, term string, df long, total long, docs binary, counts binary, keys binary"
 
 
@@ -159,7 +160,7 @@ def search(index: DataFrame, items: DataFrame, key_type: T.DataType, item: str =
 
     Equal scores come in ascending order of the document's key, a null key last; rows of one key are different documents.  The rows of
     one item key, null included, are one item with the terms of all of them.  An item without terms, or none that a document has, has no rows.
-    ``key_type`` is the type of the documents' key.
+    ``key_type`` is the type of the documents' key.  Up to ``SMALL_TERMS`` wanted terms are broadcast.
     """
     spark = index.sparkSession
     asked = cut_lineage(item_terms(items, item, text))
@@ -169,6 +170,9 @@ def search(index: DataFrame, items: DataFrame, key_type: T.DataType, item: str =
     n_blocks = max(1, -(-asked.select("item").distinct().count() // block_items))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n_blocks)))
     distinct = asked.select("term").distinct()
+    few = asked.count() <= SMALL_TERMS
+    if few:
+        distinct = F.broadcast(distinct)
     frequency = postings.select("term", "df").join(distinct, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     weight = F.floor(1000 * F.log((2 * F.lit(n) + 2).cast("double") / (2 * F.col("df") + 1).cast("double"))).cast("long")
     known = asked.join(frequency.select("term", weight.alias("w")), "term").where("w > 0")
@@ -178,8 +182,12 @@ def search(index: DataFrame, items: DataFrame, key_type: T.DataType, item: str =
         .withColumn("i", F.dense_rank().over(Window.partitionBy("block").orderBy("item")) - 1)
     )
     packed = known.groupBy("block", "i").agg(F.collect_list("id").alias("ids")).groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "ids"))), lambda x: x["ids"]).alias("items"))
-    wanted = known.select("block", "term", "id", "w").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    lists = postings.withColumn("salt", F.pmod("shard", F.lit(_SALTS)).cast("int")).join(wanted, ["term", "salt"])
+    wanted = known.select("block", "term", "id", "w").distinct()
+    if few:
+        lists = postings.join(F.broadcast(wanted), "term")
+    else:
+        dealt = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        lists = postings.withColumn("salt", F.pmod("shard", F.lit(_SALTS)).cast("int")).join(dealt, ["term", "salt"])
     lists = lists.select("shard", "block", "id", "w", "df", "docs", "counts", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("array<array<bigint>>").alias("items"))
     every = heads.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).join(packed, "block")
     none = F.lit(None).cast("long")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from brute import SF
-from respan.llm import queries
+from respan.llm import lexsearch, queries
 from respan.llm.lexsearch import build_index, search
 from respan.llm.rmq import Shard
 
@@ -65,7 +65,9 @@ def test_shard_finds_what_a_scan_finds(seed):
         assert shard.search(asked, k) == [(-s, d) for s, d in want]
 
 
-def test_odd_texts(spark, table):
+@pytest.mark.parametrize("small", [0, 200_000])
+def test_odd_texts(spark, table, monkeypatch, small):
+    monkeypatch.setattr(lexsearch, "SMALL_TERMS", small)  # joined by shuffles, broadcast
     docs = [(1, None), (2, ""), (3, "!? .."), (4, "Émile ÉMILE émile x1"), (5, "a b c a"), (6, "a b c a"), (6, "a b c a"), (None, "a b c a"), (7, "b " * 40_000 + "zz"), (8, "zz"), (9, "A-B_c@d"), (-3, "c")]
     items = [(1, "a b"), (2, None), (3, "nothing here"), (4, "Émile"), (5, "ZZ zz, b"), (5, "c"), (None, "x1 d"), (7, "")]
     bank = spark.createDataFrame(items, "item_id long, text string").withColumns({"doc_id": F.lit(1), "score": F.lit("x"), "term": F.lit("y")})
