@@ -9,7 +9,7 @@ from catalog.views import ONE_BYTE
 from respan.functions import columns as cf, qid as qf, text as tf
 from respan.irt.fit import fit_statistics, factor_map
 from respan.lineage import scratch_path
-from respan.operators import compare, dedupe, matching, quality, rows
+from respan.operators import compare, dedupe, matching, nearstem, quality, rows
 from respan.operators.counts import item_counts
 from respan.sources import tables as io
 
@@ -295,6 +295,34 @@ def match_items(fx):
     return matching.match_items(fx.template, fx.bank, repairs, 0.35)
 
 
+_PROBES = "select distinct nullif(lower(domainId),'') as domain_key, lower(stem) as stem_key from fx_template where stem <> ''"
+
+
+def stem_probes(fx):
+    return fx.template.select(F.nullif(F.lower("domainId"), F.lit("")).alias("domain_key"), F.lower("stem").alias("stem_key")).where("stem_key <> ''")
+
+
+@query(f"""select domain_key, stem_key, QID as candidate_QID, round(sim,6) as similarity_jw from (
+ select domain_key, stem_key, b.QID, jaro_similarity({{one}}stem_key{{byte}}, {{one}}b.stem{{byte}}) as sim from ({_PROBES}) p join fx_bank b on domain_key is null or domain_key = lower(b.domain)) z
+ where sim >= 0.8""".replace("{one}", ONE_BYTE[0]).replace("{byte}", ONE_BYTE[1]))
+def similar_stems(fx):
+    """Every bank item of a similarity of 0.8 or more: the threshold join below the fuzzy stage."""
+    found = nearstem.similar_stems(stem_probes(fx), fx.bank, 0.8)
+    return found.select("domain_key", "stem_key", "candidate_QID", "similarity_jw")
+
+
+_CLASSES = "list_transform(range(32), lambda k: len(list_filter(string_split({0}, ''), lambda x: unicode(x) % 32 = k)))"
+
+
+@query(f"""with p as (select *, {_CLASSES.format('stem_key')} as c, length(stem_key) as a from ({_PROBES}) z),
+ b as (select QID, lower(domain) as d, {_CLASSES.format('lower(stem)')} as c, length(stem) as n from fx_bank),
+ m as (select domain_key, stem_key, a, n, list_sum(list_transform(list_zip(p.c, b.c), lambda z: least(z[1], z[2]))) as s from p join b on domain_key is null or domain_key = d)
+ select domain_key, stem_key, count(*) as n_domain, count(*) filter (s > 0 and (s / a + s / n + 1) / 3 >= 0.8 - 1e-9) as n_possible from m group by all""")
+def stem_bounds(fx):
+    """How many bank items of its domain each stem is compared with, of those there are."""
+    return nearstem.stem_bounds(stem_probes(fx), fx.bank, 0.8)
+
+
 @query(f"""select source_name, question_id, QID, string_distance, case when match_method is null then 'unmatched_after_exact_fuzzy'
   when match_method = 'fuzzy' then 'high_distance_fuzzy_match' else 'manual_repair_secondary_check' end as audit_reason from ( {MATCH_SQL} ) m
  where match_method is null or match_method = 'manual_repair' or match_method = 'fuzzy' and string_distance >= 0.08""")

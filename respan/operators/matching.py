@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from respan.functions.columns import clean_text, paste_cols
-from respan.functions.text import EditProbe, JaroIndex
+from respan.operators.nearstem import nearest_stems, similar_stems
 from respan.operators.quality import APPROVED, DECISIONS
 from respan.operators.rows import distinct_first, filter_in, project_tolerant, stack
 
@@ -23,10 +18,6 @@ REVIEW_COLUMNS = (
     "llm_suggested_qid", "llm_confidence", "llm_rationale", "human_final_decision", "human_final_qid",
 )
 
-PROBE_BLOCK = 64  # stems per probe block
-BANK_BLOCK = 1_000  # items per bank block
-BROADCAST_CHARS = 32_000_000  # bank text up to this size is broadcast
-
 
 # ---- audit cases ---------------------------------------------------------
 
@@ -56,145 +47,18 @@ def add_review_shell(df: DataFrame) -> DataFrame:
 
 # ---- candidates ----------------------------------------------------------
 
-class _BankBlock:
-    """A bounded piece of the bank inside a task, indexed by domain.
-
-    Equal (domain, text) pairs are compared once; they keep their k least ids.
-    """
-
-    def __init__(self, items: list[dict], k: int):
-        grouped: dict[tuple, list] = {}
-        for it in items:
-            domain = (it["domain"] or "").lower()
-            row = (it["QID"], it["domain"], it["stem"])
-            grouped.setdefault((domain, (it["stem"] or "").lower()), []).append(row)
-        self.k = k
-        self.keys = list(grouped)
-        self.rows = [heapq.nsmallest(k, rows, key=lambda r: r[0]) for rows in grouped.values()]
-        self.members: dict[str | None, list[int]] = {None: list(range(len(self.keys)))}
-        for i, (domain, _) in enumerate(self.keys):
-            self.members.setdefault(domain, []).append(i)
-        self.index: dict[str | None, JaroIndex] = {}
-
-    def best(self, domain: str | None, stem: str | None) -> Iterator[tuple]:
-        """(QID, domain, stem, similarity, distance) of the k best, with all ties at the border."""
-        members = self.members.get(domain)
-        if members is None:
-            return
-        if stem is None:
-            ids = [r for i in members for r in self.rows[i]]
-            for row in heapq.nsmallest(self.k, ids, key=lambda r: r[0]):
-                yield (*row, None, None)
-            return
-        if domain not in self.index:
-            # a bank row without a text is never similar; one space keeps its place
-            self.index[domain] = JaroIndex([self.keys[i][1] or " " for i in members])
-        sims = self.index[domain].similarity(stem)
-        sims = np.where([self.keys[i][1] != "" for i in members], sims, 0.0)
-        floor = np.partition(sims, -self.k)[-self.k] if len(sims) > self.k else -1.0
-        edits = EditProbe(stem)
-        for at in np.flatnonzero(sims >= floor):
-            distance = edits.distance(self.keys[members[at]][1])
-            for row in self.rows[members[at]]:
-                yield (*row, float(sims[at]), distance)
-
-
-_SCORED = pa.schema(
-    [
-        ("domain_key", pa.string()), ("stem_key", pa.string()), ("candidate_QID", pa.string()),
-        ("candidate_domain", pa.string()), ("candidate_stem", pa.string()), ("similarity_jw", pa.float64()),
-        ("distance_lv", pa.int32()),
-    ]
-)
-_SCORED_DDL = (
-    "domain_key string, stem_key string, candidate_QID string, candidate_domain string, "
-    "candidate_stem string, similarity_jw double, distance_lv int"
-)
-
-
-def _score_blocks(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bank = None, None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                block = batch["block"][row].as_py()
-                if block != held:
-                    held, bank = block, _BankBlock(batch["items"][row].as_py(), k)
-                out = [
-                    (p["domain_key"], p["stem_key"], *hit)
-                    for p in batch["probes"][row].as_py()
-                    for hit in bank.best(p["domain_key"], p["stem_key"])
-                ]
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, type=f.type) for c, f in zip(zip(*out), _SCORED)], schema=_SCORED
-                    )
-
-    return run
-
-
-def _blocks(rows: DataFrame, n: int, name: str, packed: str) -> DataFrame:
-    """Rows packed into ``n`` hash blocks of about equal size."""
-    block = F.pmod(F.xxhash64(*rows.columns), F.lit(n)).alias(name)
-    return rows.select(block, F.struct(*rows.columns).alias("_r")).groupBy(name).agg(
-        F.collect_list("_r").alias(packed)
-    )
-
-
-def _ranked(by: list[str]) -> Column:
-    return F.row_number().over(
-        W.partitionBy(*by).orderBy(
-            F.desc_nulls_last("similarity_jw"), F.asc_nulls_last("distance_lv"), F.asc("candidate_QID")
-        )
-    )
-
-
-def best_candidates(probes: DataFrame, bank: DataFrame, n_probes: int, k: int) -> DataFrame:
-    """The k best bank items per distinct (domain_key, stem_key).
-
-    Probes and bank are packed into bounded blocks; every pair of blocks is one row of work,
-    joined on the bank block id.  A task keeps the k best of its block, so pairs are never
-    written out.  A small bank (checked by its text size) is broadcast; a larger one is
-    spread over salts, so the few block ids do not limit the number of tasks.
-    """
-    size = bank.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.length("stem")), F.lit(0)).alias("chars")
-    ).first()
-    n_bank = max(1, -(-size["n"] // BANK_BLOCK))
-    n_batches = max(1, -(-n_probes // PROBE_BLOCK))
-    # identical rows would share a block, so they collapse first
-    bank_blocks = _blocks(bank.select("QID", "domain", "stem").distinct(), n_bank, "block", "items")
-    probe_blocks = _blocks(probes, n_batches, "batch", "probes").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(n_bank - 1)))
-    )
-    probe_blocks = probe_blocks.withColumn("block", F.col("block").cast("long"))
-    if size["chars"] + 64 * size["n"] <= BROADCAST_CHARS:
-        # spread the batches evenly, whatever the stage before coalesced to
-        work = probe_blocks.repartition(n_batches, "batch", "block").join(F.broadcast(bank_blocks), "block")
-    else:
-        salts = min(n_batches, 256)
-        salted = bank_blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        work = probe_blocks.withColumn("salt", F.pmod("batch", F.lit(salts)).cast("int")).join(
-            salted, ["block", "salt"]
-        )
-    scored = work.select("block", "items", "probes").mapInArrow(_score_blocks(k), _SCORED_DDL)
-    return scored.withColumn("candidate_rank", _ranked(["domain_key", "stem_key"])).filter(
-        F.col("candidate_rank") <= k
-    )
-
-
 def candidate_pool(cases: DataFrame, bank: DataFrame, k: int = 5, n_cases: int | None = None) -> DataFrame:
     """k best bank items per case, inside the case's domain when it names one.
 
-    Copies of a case are matched once: the work is per distinct (domain, stem).  Counts the cases
-    (unless ``n_cases`` is given) and measures the bank at once.  A case
+    Copies of a case are matched once: the work is per distinct (domain, stem), and a case that names a domain meets
+    blocks of that domain alone.  Counts the cases (unless ``n_cases`` is given) and searches in two rounds at once.  A case
     without any candidate keeps one row of nulls; a case without a stem gets the first
     items by QID, unscored.
     """
     domain, stem = F.nullif(F.lower("domainId"), F.lit("")), F.nullif(F.lower("stem"), F.lit(""))
     keyed = cases.withColumns({"domain_key": domain, "stem_key": stem})
     probes = keyed.select("domain_key", "stem_key").distinct()
-    best = best_candidates(probes, bank, n_cases if n_cases is not None else cases.count(), k)
+    best = nearest_stems(probes, bank, k, n_cases if n_cases is not None else cases.count())
     on = F.col("c.domain_key").eqNullSafe(F.col("b.domain_key")) & F.col("c.stem_key").eqNullSafe(F.col("b.stem_key"))
     joined = keyed.alias("c").join(best.alias("b"), on, "left")
     return joined.select(
@@ -306,7 +170,8 @@ def match_items(
     """Item identity in stages: exact stem, then nearest stem, then manual repair.
 
     A case that names a domain is matched inside it in the first two stages; one that names none
-    takes the least id of any domain.  Counts the templates and measures the bank at once.  Adds ``QID``, ``match_method`` (exact / fuzzy / manual_repair / null) and
+    takes the least id of any domain.  Runs the search for similar stems at once: only stems whose
+    length and letters allow ``max_distance`` are compared.  Adds ``QID``, ``match_method`` (exact / fuzzy / manual_repair / null) and
     ``string_distance`` (1 - similarity of the fuzzy stage).
     """
     domain = lambda c: F.coalesce(F.lower(c), F.lit(""))
@@ -319,9 +184,10 @@ def match_items(
     keyed = open_cases.select(
         F.nullif(F.lower("domainId"), F.lit("")).alias("domain_key"), F.lower("stem").alias("stem_key")
     ).distinct()
-    near = best_candidates(keyed, bank, templates.count(), 1).select(
-        "domain_key", "stem_key", F.col("candidate_QID").alias("fuzzy_QID"),
-        (1.0 - F.col("similarity_jw")).alias("string_distance"),
+    found = similar_stems(keyed, bank, 1.0 - max_distance - 1e-9, templates.count(), k=1)
+    first = F.min(F.struct((-F.col("similarity_jw")).alias("s"), F.col("distance_lv").alias("d"), F.col("candidate_QID").alias("q"))).alias("b")
+    near = found.groupBy("domain_key", "stem_key").agg(first).select(
+        "domain_key", "stem_key", F.col("b.q").alias("fuzzy_QID"), (1.0 + F.col("b.s")).alias("string_distance"),
     )
     fixed = repairs.select("source_name", "question_id", F.col("QID").alias("repair_QID"))
     fixed = distinct_first(fixed, ["source_name", "question_id"], [("repair_QID", "asc")])

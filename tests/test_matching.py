@@ -1,9 +1,10 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from respan.operators import matching
+from respan.operators import matching, nearstem
 from test_text import brute_edit, brute_jaro, words
 
 CASES = "audit_row int, source_name string, question_id string, domainId string, stem string"
@@ -27,9 +28,10 @@ def brute_pool(cases, bank, k):
 @pytest.mark.parametrize("broadcast_chars", [0, 1_000_000])
 def test_candidates_equal_brute_force(spark, monkeypatch, broadcast_chars):
     """Several bank and probe blocks, with and without broadcast; a third of the cases are copies."""
-    monkeypatch.setattr(matching, "BANK_BLOCK", 7)
-    monkeypatch.setattr(matching, "PROBE_BLOCK", 9)
-    monkeypatch.setattr(matching, "BROADCAST_CHARS", broadcast_chars)
+    monkeypatch.setattr(nearstem, "BANK_BLOCK", 7)
+    monkeypatch.setattr(nearstem, "PROBE_BLOCK", 9)
+    monkeypatch.setattr(nearstem, "BROADCAST_CHARS", broadcast_chars)
+    monkeypatch.setattr(nearstem, "FIRST_LOOK", 1)
     rng = random.Random(4)
     domains = ["ideas", "Inference", "purpose"]
     bank = [(f"Q{i:03d}", rng.choice(domains), words(rng, 25)) for i in range(40)]
@@ -85,3 +87,33 @@ def test_audit_cases_keep_the_first_source(spark):
     assert got == {"1": "unmatched_after_exact_fuzzy", "2": "high_distance_fuzzy_match", "5": "manual_repair_secondary_check"}
     shell = matching.add_review_shell(unmatched).collect()[0]
     assert shell["audit_status"] == "pending" and shell["human_final_qid"] is None
+
+
+@pytest.mark.parametrize("least, rows", [(0.8, 1_000), (0.65, 9), (0.95, 5)])
+def test_similar_stems_equal_brute_force(spark, monkeypatch, least, rows):
+    """All pairs that reach the similarity, whatever the blocks; the bound never rules one out."""
+    monkeypatch.setattr(nearstem, "BANK_BLOCK", rows)
+    rng = random.Random(11)
+    stems = [words(rng, rng.choice([1, 4, 25, 60])) for _ in range(60)] + ["", None, "ß ß", "aaaa", "aaab"]
+    bank = [(f"Q{i:03d}", rng.choice(["ideas", "Purpose", None]), s) for i, s in enumerate(stems)] + [("Q900", "ideas", "aaaa"), ("Q900", "ideas", "aaaa")]
+    near = [s[: rng.randint(1, len(s))] + rng.choice(["", "x", s[:1]]) for s in stems[:40]]
+    probes = [(rng.choice([None, "ideas", "purpose", "nowhere"]), s.lower()) for s in near] + [(None, "aaaa"), ("ideas", "aaaa"), (None, None), ("ideas", "")]
+    given = spark.createDataFrame(probes, "domain_key string, stem_key string"), spark.createDataFrame(bank, "QID string, domain string, stem string")
+    got = {(r.domain_key, r.stem_key, r.candidate_QID): r.similarity_jw for r in nearstem.similar_stems(*given, least).collect()}
+    want, possible = {}, {}
+    for d, p in set(probes):
+        if not p:
+            continue
+        pool = {b for b in bank if d is None or (b[1] or "").lower() == d}
+        for q, _, s in pool:
+            sim = brute_jaro((s or "").lower(), p) if s else 0.0
+            if sim >= least:
+                want[d, p, q] = sim
+        common = lambda s: sum((Counter(ord(c) % 32 for c in s.lower()) & Counter(ord(c) % 32 for c in p)).values())
+        bounds = [(common(s) / len(p) + common(s) / len(s) + 1) / 3 if s and common(s) else 0.0 for _, _, s in pool]
+        possible[d, p] = (len(pool), sum(b >= least - 1e-9 for b in bounds))
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    counts = {(r.domain_key, r.stem_key): (r.n_domain, r.n_possible) for r in nearstem.stem_bounds(*given, least).collect()}
+    assert counts == possible
+    assert nearstem.similar_stems(given[0], given[1].limit(0), least).isEmpty()
+    assert nearstem.similar_stems(given[0].limit(0), given[1], least).isEmpty()
