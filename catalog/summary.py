@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.basic import numbered_cases, patches, respondents
 from catalog.registry import query
 from respan.operators.rows import cast_items, to_wide
-from respan.operators import compare, counts as ct, dedupe, describe as ds, matching, quality as qa, selection as sel
+from respan.operators import compare, counts as ct, dedupe, describe as ds, matching, patterns, quality as qa, selection as sel
 
 CATEGORIES = ["college", "wave", "age", "gender", "ethnicity", "military", "pell"]
 GROUPS = ["college", "wave", "gender", "ethnicity", "military", "pell"]
@@ -259,7 +259,30 @@ def group_missingness(fx):
 @query("""with p as (select global_id, count(*) as n_items, sha256(string_agg(QID||'='||response::varchar, ',' order by QID||'='||response::varchar)) as pattern from fx_double_response group by global_id)
  select pattern, n_items, count(*) as n_respondents, min(global_id) as first_id from p group by pattern, n_items having count(*) > 1""")
 def score_pattern_groups(fx):
-    return dedupe.score_pattern_groups(fx.double_response)
+    return patterns.equal_pattern_groups(fx.double_response)
+
+
+# each answer pattern once, by its least respondent
+_CLASSES = """pt as (select global_id, string_agg(QID||'='||response::varchar, ',' order by QID) as pattern, count(*) as n from fx_retest group by global_id),
+ cl as (select *, min(global_id) over (partition by pattern) as class_id, count(*) over (partition by pattern) as n_members from pt),
+ ce as (select r.* from fx_retest r join cl on r.global_id = cl.class_id and cl.global_id = cl.class_id),
+ j as (select x.global_id as a, y.global_id as b, count(*) as n_joint, count(*) filter (x.response <> y.response) as w from ce x join ce y on x.QID = y.QID and x.global_id < y.global_id group by all),
+ ln as (select a, b, n_joint, p.n + q.n - 2 * n_joint + w as n_diff from j join pt p on p.global_id = a join pt q on q.global_id = b where n_joint >= 12 and p.n + q.n - 2 * n_joint + w <= 2)"""
+
+
+@query(f"""with {_CLASSES} select global_id, class_id, n_members, (select count(*) from ln where a = class_id or b = class_id) as n_links from cl""")
+def likely_duplicates(fx):
+    """Respondents by equal answers, and how many other answer patterns differ in two items at most."""
+    from catalog.model import item_ids
+
+    return patterns.likely_duplicates(fx.retest, item_ids())[0]
+
+
+@query(f"with {_CLASSES} select a, b, n_joint::int as n_joint, n_diff::int as n_diff from ln")
+def similar_patterns(fx):
+    from catalog.model import item_ids
+
+    return patterns.likely_duplicates(fx.retest, item_ids())[1]
 
 
 @query("select count(*) as n_rows, count(distinct source_name||question_id) as n_ids, count(*) - count(distinct source_name||question_id) as n_duplicate_rows, 0::bigint as n_null_ids from fx_review")

@@ -84,6 +84,11 @@ select global_id, trim(source_id) as source_id, 'main' as cohort, age, gender, t
         "fx_double_response": """
 select global_id, QID, response from fx_response
  union all select concat('T',substr(global_id,2)), QID, response from fx_response""",
+        # every respondent a second time, with some answers changed and some left out
+        "fx_retest": """
+select global_id, QID, response from fx_response
+ union all select concat('T',substr(global_id,2)), QID, case when (cast(substr(global_id,2) as int) + cast(substr(QID,2,3) as int)) % 31 = 0 then 1 - response else response end
+ from fx_response where (cast(substr(global_id,2) as int) * 7 + cast(substr(QID,2,3) as int)) % 41 <> 0""",
         # legacy ids of half the items
         "fx_legacy": """
 select QID as legacy_QID, concat(QID,'x') as QID from fx_params where a > 1.2""",

@@ -34,16 +34,6 @@ def score_patterns(resp: DataFrame, key: str = "global_id") -> DataFrame:
     )
 
 
-def score_pattern_groups(resp: DataFrame, key: str = "global_id") -> DataFrame:
-    """Answer patterns that more than one respondent shows."""
-    return (
-        score_patterns(resp, key)
-        .groupBy("pattern", "n_items")
-        .agg(F.count("*").alias("n_respondents"), F.min(key).alias("first_id"))
-        .filter("n_respondents > 1")
-    )
-
-
 def duplicate_pairs(
     df: DataFrame, keys: Sequence[str], cohort: str = "wave", key: str = "global_id"
 ) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from respan.operators import dedupe, quality as qa, selection as sel
+from respan.operators import dedupe, patterns, quality as qa, selection as sel
 
 
 def test_gates_stop_or_report(spark):
@@ -65,7 +65,7 @@ def test_item_timing_crosses_buckets(spark):
 
 def test_patterns_ignore_row_order_and_repeats(spark):
     rows = [("a", "Q1", 1), ("a", "Q2", 0), ("b", "Q2", 0), ("b", "Q1", 1), ("b", "Q1", 1), ("c", "Q1", 0)]
-    got = dedupe.score_pattern_groups(spark.createDataFrame(rows, "global_id string, QID string, response int")).collect()
+    got = patterns.equal_pattern_groups(spark.createDataFrame(rows, "global_id string, QID string, response int")).collect()
     assert len(got) == 1 and got[0]["n_respondents"] == 2 and got[0]["first_id"] == "a" and got[0]["n_items"] == 2
 
 
