@@ -26,17 +26,17 @@ def diagnostics(fx):
     return diagnose(item_lookup(fx.params), counts, fx.params.select("QID", "a", "b"), LIMITS)
 
 
-def fixed_model(fx, kind="2pl"):
+def fixed_model(fx, kind="2pl", items="true"):
     """Rasch or 2PL with the true parameters of the fixture."""
     a = F.lit(1.0) if kind == "rasch" else F.col("a")
-    return irt.state_from_params(fx.params.select("QID", a.alias("a"), "b"))
+    return irt.state_from_params(fx.params.where(items).select("QID", a.alias("a"), "b"))
 
 
-def fixed_fit(fx):
+def fixed_fit(fx, items="true"):
     """Fit rows of the fixed models (npar as in a free fit)."""
     out = []
     for name in ("rasch", "2pl"):
-        state = fixed_model(fx, name)
+        state = fixed_model(fx, name, items)
         n = len(state.items)
         npar = n + 1 if name == "rasch" else 2 * n
         out.append(
@@ -159,9 +159,17 @@ def lrt_statistic(fx):
     return irt.lrt_statistic(fixed_fit(fx), "rasch", "2pl")
 
 
-@query()
+_LL = """(select sum(lm) from (select max(l) + ln(sum(exp(l - m))) as lm from (select *, max(l) over (partition by global_id) as m from (
+  select r.global_id, n.node, any_value(n.lw) + sum(case when response=1 then -ln(1+exp(-{0}*(n.theta-p.b))) else -ln(1+exp({0}*(n.theta-p.b))) end) as l
+  from fx_response r join fx_params p using (QID) cross join or_nodes n where substr(QID,2,3) <> '001' group by r.global_id, n.node) t) u group by global_id) v)"""
+
+
+@query(f"""with f as (select 2 * ({_LL.format('p.a')} - {_LL.format('1')}) as chi2, (select count(*) - 1 from fx_params where substr(QID,2,3) <> '001')::int as df)
+ select 'rasch' as small, '2pl' as big, round(chi2, 4) as chi2, df, round(case when chi2 <= 0 then 1 else (select sum(exp(-chi2 / 2 + i * ln(chi2 / 2) - lgamma(i + 1))) from range(0, 500) t(i) where i < df / 2) end, 6) as p from f where df % 2 = 0""")
 def lrt(fx):
-    return irt.lrt(fixed_fit(fx), "rasch", "2pl")
+    """On an odd number of items, so that the degrees of freedom are even and SQL can sum the tail."""
+    fit = fixed_fit(fx, "substring(QID, 2, 3) <> '001'")
+    return irt.lrt(fit, "rasch", "2pl").where("df % 2 = 0").withColumn("chi2", F.round("chi2", 4))
 
 
 @query("select x.QID as QID_1, y.QID as QID_2, count(*) as n, sum(x.response*y.response)::bigint as n_correct from fx_response x join fx_response y on x.global_id=y.global_id and x.QID < y.QID group by 1,2")
@@ -181,6 +189,28 @@ def model_stats(fx):
     return all_stats(packed, [irt.fit_irt(packed, k) for k in ("rasch", "2pl")])
 
 
+def complete_answers(fx):
+    """Answers to the first testlet of those who answered all of it: a table without gaps that grows with the respondents."""
+    own = fx.response.where(F.regexp_extract("QID", "([0-9]+)$", 1) == "1")
+    whole = own.groupBy("global_id").agg(F.count("*").alias("n")).where("n = 6").select("global_id")
+    return own.join(whole, "global_id", "left_semi")
+
+
+@query()
+def m2_complete(fx):
+    """M2 of fixed parameters on answers without gaps."""
+    resp = complete_answers(fx)
+    items = [r.QID for r in resp.select("QID").distinct().collect()]
+    return m2(resp, irt.state_from_params(fx.params.where(F.col("QID").isin(items)).select("QID", "a", "b")))
+
+
+@query()
+def model_stats_complete(fx):
+    """Rasch and 2PL fitted to answers without gaps, with their M2 statistics."""
+    packed = irt.prepare(complete_answers(fx))
+    return all_stats(packed, [irt.fit_irt(packed, k) for k in ("rasch", "2pl")])
+
+
 # ---- diagnostics and trimming --------------------------------------------
 
 _DIAG = "QID, testlet, domain_code, domain, n_responded, round(prop_correct,6) as prop_correct, round(a,6) as a, round(b,6)+0.0 as b, flag_low_a, flag_high_a, flag_extreme_b, flag_low_n, flag_poor_p, n_flags, trim_candidate"

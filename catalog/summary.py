@@ -327,18 +327,21 @@ def cast_gate(fx):
     return qa.failed_casts(raw, cast_items(raw, ["transfer", "pell"]), ["transfer", "pell"], "global_id")
 
 
-@query("select 'required_columns' as gate, 'stop' as severity, 2::bigint as n_violations, 'gpa' as sample from (select count(*) as n from customer) t")
+@query("select 'required_columns' as gate, 'stop' as severity, count(*) as n_violations, min(QID) as sample from (select QID from fx_params union select QID from fx_legacy) t where QID not in (select QID from fx_response)")
 def column_gate(fx):
-    return qa.column_gate(fx.respondent, [*fx.respondent.columns, "gpa", "school"])
+    """Items of the parameter table and renamed legacy items against the columns of the wide answers."""
+    from catalog.model import item_ids
 
+    seen = {r.QID for r in fx.response.select("QID").distinct().collect()}  # a row for each item
+    wide = to_wide(fx.response, [q for q in item_ids() if q in seen])
+    return qa.item_column_gate(wide, fx.params.select("QID").unionByName(fx.legacy.select("QID")))
 
-@query("select 'item_count' as gate, 'stop' as severity, case when n = 180 then 0 else 1 end::bigint as n_violations, case when n <> 180 then n || ' item columns, expected 180' end as sample from (select count(distinct QID) as n from fx_response) t")
-def item_count_gate(fx):
-    from catalog.model import item_ids
 
-    wide = to_wide(fx.response, item_ids())
-    seen = wide.agg(*[F.count(c).alias(c) for c in item_ids()])
-    return qa.item_count_gate(seen, 180)
+@query("select 'item_count' as gate, 'stop' as severity, (n <> 180)::bigint as n_violations, case when n <> 180 then n || ' item columns, expected 180' end as sample from (select count(distinct QID) as n from fx_response where response is not null and QID not like '%s1') t")
+def item_count_gate(fx):
+    """Answered items, counted from answers of which some items have none."""
+    blank = F.when(~F.col("QID").like("%s1"), F.col("response"))
+    return qa.answered_item_gate(fx.response.withColumn("response", blank), 180)
 
 
 @query("""select what || '_present' as gate, 'stop' as severity, (n = 0)::bigint as n_violations, case when n = 0 then what || ' is empty' end as sample
@@ -424,12 +427,17 @@ def describe_flow(fx):
     return told.numbers.select("variable", "n", "mean", "median")
 
 
-@query("select 'bifactor' as model, 3 as n_models, count(*) as n_items from fx_params where a >= 1 group by all")
+@query("""with k as (select r.* from fx_response r join fx_params p using (QID) where p.a >= 1),
+ i as (select QID from k group by QID having min(response) < max(response)), l as (select QID, testlet from or_lookup join i using (QID)),
+ n as (select count(*)::int as n, (select count(*) from l where testlet in (select testlet from l group by testlet having count(*) >= 2))::int as s,
+  (select count(distinct global_id) from k join i using (QID)) as people from i)
+ select 'rasch' as model, n as n_items, n + 1 as npar, people as n_respondents, true as best_last from n union all select '2pl', n, 2 * n, people, true from n union all select 'bifactor', n, 2 * n + s, people, true from n""")
 def trimmed_comparison_flow(fx):
-    """Models on the items of high slope; the row tells the best by log-likelihood, and how many items all had."""
+    """The three models on the items of high slope, without items that all answered alike; a richer model fits no worse."""
     from respan.plans import flows
 
     kept = fx.params.filter("a >= 1").select("QID")
-    done = flows.trimmed_comparison_flow(fx.response, fx.respondent, kept, tol_loglik=1e-4)
+    done = flows.trimmed_comparison_flow(fx.response, fx.respondent, kept, tol_loglik=1e-6)
     fit = done.comparison.fit
-    return fit.agg(F.max_by("model", "logLik").alias("model"), F.count("*").cast("int").alias("n_models"), F.max("n_items").cast("long").alias("n_items"))
+    best = fit.agg(F.max_by("model", "logLik").alias("best"))
+    return fit.crossJoin(F.broadcast(best)).select("model", "n_items", "npar", "n_respondents", (F.col("best") == "bifactor").alias("best_last"))

@@ -94,6 +94,23 @@ def item_count_gate(df: DataFrame, n: int) -> DataFrame:
     return table_gate(df.sparkSession, "item_count", [] if found == n else [f"{found} item columns, expected {n}"])
 
 
+def item_column_gate(df: DataFrame, required: DataFrame, item: str = "QID") -> DataFrame:
+    """One violation for every id of ``required`` that is no column of ``df``; the ids stay on the executors."""
+    have = df.sparkSession.createDataFrame([(c,) for c in df.columns], f"`{item}` string")
+    lacking = required.select(item).where(F.col(item).isNotNull()).distinct().join(F.broadcast(have), item, "left_anti")  # as wide as the table
+    return lacking.agg(F.lit("required_columns").alias("gate"), F.lit("stop").alias("severity"), F.count("*").alias("n_violations"), F.min(item).alias("sample"))
+
+
+def answered_item_gate(resp: DataFrame, n: int, item: str = "QID", answer: str = "response") -> DataFrame:
+    """One violation unless exactly ``n`` items have an answer, counted from the rows."""
+    found = resp.where(F.col(answer).isNotNull() & F.col(item).isNotNull()).select(item).distinct().agg(F.count("*").alias("found"))
+    wrong = F.col("found") != n
+    return found.select(
+        F.lit("item_count").alias("gate"), F.lit("stop").alias("severity"), wrong.cast("long").alias("n_violations"),
+        F.when(wrong, F.concat(F.col("found").cast("string"), F.lit(f" item columns, expected {n}"))).alias("sample"),
+    )
+
+
 def rows_gate(df: DataFrame, what: str) -> DataFrame:
     """One violation if the table is empty; one aggregate, no rows to the driver."""
     empty = F.count("*") == 0
