@@ -100,11 +100,51 @@ def fit_2pl_params(fx):
     return irt.fit_irt(fx.response, "2pl").params
 
 
+_GRID = "(select i as {0}, -4.5+0.45*i as {0}v, -0.5*power(-4.5+0.45*i,2) - ln(sum(exp(-0.5*power(-4.5+0.45*i,2))) over ()) as {0}w from range(21) t(i))"
+
+# bifactor: share of each node of a testlet's own factor given the general one, and the general posterior with its log marginal
+_BIFACTOR_CELLS = f"""ce as (select r.global_id, l.testlet, g.g, u.u, any_value(u.uw)
+   + sum(case when response=1 then -ln(1+exp(-(p.a*g.gv + 0.5*u.uv - p.a*p.b))) else -ln(1+exp(p.a*g.gv + 0.5*u.uv - p.a*p.b)) end) as l
+  from fx_response r join fx_params p using (QID) join or_lookup l using (QID) cross join {_GRID.format('g')} g cross join {_GRID.format('u')} u group by 1,2,3,4),
+ c as (select *, exp(l) / sum(exp(l)) over (partition by global_id, testlet, g) as share from ce),
+ tl as (select global_id, testlet, g, ln(sum(exp(l))) as l from ce group by 1,2,3),
+ g0 as (select global_id, g, sum(l) + any_value(gw) as l from tl join {_GRID.format('g')} x using (g) group by 1,2),
+ pg as (select global_id, g, exp(l - m) / sum(exp(l - m)) over (partition by global_id) as w, m + ln(sum(exp(l - m)) over (partition by global_id)) as lm
+  from (select *, max(l) over (partition by global_id) as m from g0) t)"""
+
+
 @query("""select p.QID, n.node::int as node, round(sum(w),6) as n, round(sum(w*response),6) as r from or_post p0 join fx_response p using (global_id) join or_nodes n on n.node = p0.node group by p.QID, n.node""")
 def e_step(fx):
     return irt.e_step(fx.response, fixed_model(fx))
 
 
+@query("""with p as (select *, exp(l - m) / sum(exp(l - m)) over (partition by global_id) as w from (select *, max(l) over (partition by global_id) as m from or_ll_rasch) t)
+ select r.QID, p.node::int as node, round(sum(w),6) as n, round(sum(w*response),6) as r from p join fx_response r using (global_id) group by r.QID, p.node""")
+def e_step_rasch(fx):
+    """Over respondents of equal items and equal number right as one row each."""
+    return irt.e_step(fx.response, fixed_model(fx, "rasch"), collapsed=True)
+
+
+@query(f"""with {_BIFACTOR_CELLS}, j as (select c.global_id, c.testlet, c.u, sum(pg.w * c.share) as w from c join pg using (global_id, g) group by all)
+ select QID, u::int as u, round(sum(w),6) as n, round(sum(w*response),6) as r from fx_response join or_lookup using (QID) join j using (global_id, testlet) group by all""")
+def e_step_bifactor(fx):
+    """Expected answers at the nodes of each item's own factor."""
+    state = fixed_bifactor(fx)
+    sums = irt.e_step(fx.response, state, collapsed=True)
+    u = F.pmod("node", F.lit(len(state.grid.specific))).alias("u")
+    return sums.groupBy("QID", u).agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
+
+
+@query(f"""with {_BIFACTOR_CELLS}, ps as (select global_id, string_agg(QID || '=' || response, ',' order by QID) as p, string_agg(QID, ',' order by QID) || ':' || sum(response) as q from fx_response group by global_id)
+ select 'rasch' as model, round(logLik,4) as logLik, n_respondents, (select count(distinct q) from ps) as n_patterns from or_fit where model = 'rasch'
+ union all select '2pl', round(logLik,4), n_respondents, (select count(distinct p) from ps) from or_fit where model = '2pl'
+ union all select 'bifactor', round(sum(lm),4), count(*), (select count(distinct p) from ps) from (select global_id, any_value(lm) as lm from pg group by global_id) t""")
+def pattern_log_likelihood(fx):
+    """The three models at fixed parameters, summed over answer patterns."""
+    models = {"rasch": fixed_model(fx, "rasch"), "2pl": fixed_model(fx), "bifactor": fixed_bifactor(fx)}
+    return rows.stack(*[irt.pattern_log_likelihood(fx.response, m).withColumn("model", F.lit(name)) for name, m in models.items()]).withColumn("logLik", F.round("logLik", 4))
+
+
 @query("""with l as (select testlet::int as testlet, QID from or_lookup) select testlet as factor, testlet, list(rn order by rn) as item_indices, count(*) as n_items
  from (select QID, row_number() over (order by QID)::int as rn from or_lookup) x join l using (QID) group by testlet having count(*) >= 2""")
 def factor_map(fx):
@@ -126,7 +166,6 @@ def log_marginal(fx):
     return irt.posteriors(fx.response, fixed_model(fx)).select("global_id", "log_marginal")
 
 
-_GRID = "(select i as {0}, -4.5+0.45*i as {0}v, -0.5*power(-4.5+0.45*i,2) - ln(sum(exp(-0.5*power(-4.5+0.45*i,2))) over ()) as {0}w from range(21) t(i))"
 
 
 @query(f"""with cell as (select r.global_id, l.testlet, g.g, u.u, any_value(g.gv) as gv, any_value(u.uw)

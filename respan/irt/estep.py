@@ -40,6 +40,22 @@ def pack_responses(resp: DataFrame, items: list[str], key: str = "global_id") ->
     )
 
 
+def collapse(packed: DataFrame, kind: str) -> DataFrame:
+    """(items, answers, weight): respondents that a fit cannot tell apart as one row.
+
+    Equal answers to equal items are one row.  Under the Rasch model the number of right answers is all that counts, so there
+    respondents of equal items and equal number are one row, with each item's share of right answers.
+    """
+    if kind != "rasch":
+        rows = packed.groupBy("items", "answers").agg(F.count("*").cast("double").alias("weight"))
+        return rows.select("items", F.transform("answers", lambda y: y.cast("double")).alias("answers"), "weight")
+    total = F.aggregate("answers", F.lit(0), lambda s, y: s + y)
+    places = packed.select("items", total.alias("total"), F.posexplode("answers").alias("place", "y"))
+    shares = places.groupBy("items", "total", "place").agg(F.avg(F.col("y").cast("double")).alias("share"), F.count("*").alias("n"))
+    rows = shares.groupBy("items", "total").agg(F.array_sort(F.collect_list(F.struct("place", "share"))).alias("s"), F.max("n").cast("double").alias("weight"))
+    return rows.select("items", F.transform("s", lambda c: c["share"]).alias("answers"), "weight")
+
+
 def matrices(batch: pa.RecordBatch, n_items: int, rows: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, correct, answered): 0/1 matrices of up to ``rows`` respondents."""
     lists, answers = batch["items"], batch["answers"]
@@ -74,8 +90,8 @@ def posterior_1d(state: ModelState, correct: np.ndarray, answered: np.ndarray):
     return w / total, (top + np.log(total))[:, 0]
 
 
-def posterior_bifactor(state: ModelState, correct: np.ndarray, answered: np.ndarray, sums=None):
-    """(weights over general nodes, log marginal); adds item sums to ``sums`` = (n, r) if given.
+def posterior_bifactor(state: ModelState, correct: np.ndarray, answered: np.ndarray, sums=None, weight=None):
+    """(weights over general nodes, log marginal); adds item sums to ``sums`` = (n, r) if given, each row ``weight`` times.
 
     Given g the testlets are independent, so each is integrated over its own factor: the
     grid is two-dimensional per testlet, whatever the number of testlets.
@@ -105,6 +121,8 @@ def posterior_bifactor(state: ModelState, correct: np.ndarray, answered: np.ndar
     w /= total
     for cols, rows, y, m, share in parts:
         both = (share * w[rows][:, :, None]).reshape(len(rows), -1)
+        if weight is not None:
+            both *= weight[rows][:, None]
         sums[0][cols] += m.T @ both
         sums[1][cols] += y.T @ both
     return w, (top + np.log(total))[:, 0]
@@ -119,6 +137,7 @@ def _rows_at_a_time(state: ModelState) -> int:
 
 # ---- estimation sums -----------------------------------------------------
 
+_FITTED = ("items", "answers")
 _SUMS_DDL = "item int, node int, n double, r double"
 _BLOCK_DDL = "block int, n binary, r binary, loglik double, people double, second double"
 _COEF_DDL = "block int, coef binary, loglik double, people double, second double"
@@ -131,16 +150,18 @@ def _sums(state: ModelState, blocks: bool = False) -> Callable[[Iterator[pa.Reco
         loglik = count = second = 0.0
         rows = _rows_at_a_time(state)
         for batch in batches:
-            for _, correct, answered in matrices(batch, n_items, rows):
+            times = batch["weight"].to_numpy() if "weight" in batch.schema.names else np.ones(batch.num_rows)
+            for lo, correct, answered in matrices(batch, n_items, rows):
+                weight = times[lo : lo + len(correct)]
                 if state.kind == "bifactor":
-                    w, marginal = posterior_bifactor(state, correct, answered, (n, r))
+                    w, marginal = posterior_bifactor(state, correct, answered, (n, r), weight)
                 else:
                     w, marginal = posterior_1d(state, correct, answered)
-                    n += answered.T @ w
-                    r += correct.T @ w
-                loglik += marginal.sum()
-                count += len(marginal)
-                second += (w @ state.grid.general**2).sum()
+                    n += answered.T @ (w * weight[:, None])
+                    r += correct.T @ (w * weight[:, None])
+                loglik += weight @ marginal
+                count += weight.sum()
+                second += weight @ (w @ state.grid.general**2)
         if count == 0:
             return
         if blocks:  # one row for each block of items
@@ -172,7 +193,7 @@ def expected_sums(packed: DataFrame, state: ModelState) -> DataFrame:
 
     Every task sends items x nodes rows at most, whatever its number of respondents.
     """
-    sums = packed.select("items", "answers").mapInArrow(_sums(state), _SUMS_DDL)
+    sums = packed.select(*_FITTED, *[c for c in ("weight",) if c in packed.columns]).mapInArrow(_sums(state), _SUMS_DDL)
     return sums.groupBy("item", "node").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
 
 
@@ -209,7 +230,7 @@ def em_step(packed: DataFrame, state: ModelState, slope_bound: float | None = No
     and the driver gets the new coefficients.
     """
     n_blocks = max(1, -(-len(state.items) // ITEM_BLOCK))
-    sums = packed.select("items", "answers").mapInArrow(_sums(state, blocks=True), _BLOCK_DDL)
+    sums = packed.select(*_FITTED, *[c for c in ("weight",) if c in packed.columns]).mapInArrow(_sums(state, blocks=True), _BLOCK_DDL)
     rows = sums.repartition(n_blocks, "block").mapInArrow(_update(state, slope_bound), _COEF_DDL).collect()
     coef = state.coef.copy()
     for row in rows:

@@ -11,7 +11,7 @@ import pandas as pd
 
 from respan.functions.qid import testlet
 from respan.irt.chi2 import chi2_upper_tail
-from respan.irt.estep import em_step, expected_sums, item_list, pack_responses, pair_sums, respondent_posteriors
+from respan.irt.estep import collapse, em_step, expected_sums, item_list, pack_responses, pair_sums, respondent_posteriors
 from respan.irt.model import Grid, ModelState, grid_1d, grid_bifactor, start_state
 from respan.lineage import cut_lineage
 from respan.operators.counts import item_counts
@@ -116,10 +116,12 @@ def fit_irt(
     tol_loglik: float = 0.0,
     grid: Grid | None = None,
     slope_bound: float | None = 10.0,
+    collapsed: bool = True,
 ) -> FittedModel:
     """Marginal maximum likelihood by EM: ``rasch``, ``2pl`` or ``bifactor``.
 
-    Each iteration is one Spark job over the packed respondents; blocks of items are updated in
+    Each iteration is one Spark job over the different answer patterns with their counts (for the Rasch model over
+    items and number of right answers; ``collapsed=False``: over the respondents); blocks of items are updated in
     tasks and their coefficients come back.  ``slope_bound`` keeps slopes within bounds (None: free),
     which ``at_bound`` reports.  Without answers or items the fit is a row of nulls with
     ``converged = false``.  Stops when no estimate moves by ``tol``, or when the
@@ -139,6 +141,8 @@ def fit_irt(
     if not items:
         fit = spark.createDataFrame([(label, 0, None, 0, None, None, 0, False)], _FIT_DDL)
         return FittedModel(label, state, params_table(spark, state, flat), fit, [])
+    if collapsed:
+        packed = cut_lineage(collapse(packed, kind).coalesce(4 * spark.sparkContext.defaultParallelism))
     packed.persist()
     try:
         history: list[float] = []
@@ -241,15 +245,28 @@ def log_likelihood(resp: DataFrame | PackedResponses, model: FittedModel | Model
     )
 
 
-def e_step(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
-    """QID, theta node, expected answers n, expected correct r under the given parameters."""
+def e_step(resp: DataFrame, model: FittedModel | ModelState, collapsed: bool = False) -> DataFrame:
+    """QID, theta node, expected answers n, expected correct r under the given parameters.
+
+    With ``collapsed`` the sums run over answer patterns with their counts, as in a fit.
+    """
     state = _as_state(model)
     spark = resp.sparkSession
-    sums = expected_sums(pack_responses(resp, state.items), state).filter("item >= 0")
+    packed = pack_responses(resp, state.items)
+    sums = expected_sums(collapse(packed, state.kind) if collapsed else packed, state).filter("item >= 0")
     names = spark.createDataFrame([(i, q) for i, q in enumerate(state.items)], "item int, QID string")
     return sums.join(F.broadcast(names), "item").select("QID", "node", "n", "r")  # item-sized
 
 
+def pattern_log_likelihood(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+    """One row: marginal log-likelihood, the number of respondents, and of rows they collapse to in a fit."""
+    state = _as_state(model)
+    rows = cut_lineage(collapse(pack_responses(resp, state.items), state.kind))
+    total = expected_sums(rows, state).filter("item = -1 and node = 0")
+    n_rows = rows.agg(F.count("*")).scalar()
+    return total.select(F.col("n").alias("logLik"), F.round("r").cast("long").alias("n_respondents"), n_rows.alias("n_patterns"))
+
+
 # ---- fit statistics ------------------------------------------------------
 
 def fit_statistics(fit: DataFrame) -> DataFrame:

@@ -206,3 +206,23 @@ def test_fit_of_nothing_and_of_wrong_answers(spark):
     assert row.n_items == 0 and row.logLik is None and not row.converged
     with pytest.raises(GateError):
         fit_irt(spark.createDataFrame([("p", "i", 2)], "global_id string, QID string, response int"), "2pl")
+
+
+@pytest.mark.parametrize("kind", ["rasch", "2pl", "bifactor"])
+def test_fit_on_patterns_equals_fit_on_respondents(spark, kind):
+    """With gaps, so that equal answers to other items must stay apart."""
+    resp, _, _ = simulate(spark, 600, np.full(6, 1.2), np.linspace(-1, 1, 6), spec=0.8, testlets=np.array([0, 0, 0, 1, 1, 1]), keep=0.9)
+    packed = irt.prepare(resp)
+    rows = irt.collapse(packed.data, kind)
+    assert rows.count() < packed.data.count() and rows.agg(F.sum("weight")).first()[0] == packed.data.count()
+    one, each = (irt.fit_irt(packed, kind, max_iter=15, collapsed=c) for c in (True, False))
+    np.testing.assert_allclose(one.history, each.history, rtol=1e-9)
+    np.testing.assert_allclose(one.state.coef, each.state.coef, atol=1e-6)
+    assert one.fit.first()["n_respondents"] == each.fit.first()["n_respondents"] == packed.data.count()
+
+
+def test_m2_has_values_on_complete_answers(spark):
+    import __spark_entry__ as entry
+
+    row = entry.queries()["m2_complete"](spark, "/root/testdata/sf0.01").first()
+    assert row["reason"] is None and row["M2"] > 0 and row["df_M2"] == 9 and 0 <= row["p_M2"] <= 1
