@@ -9,9 +9,11 @@ from catalog.registry import query
 from respan.functions.qid import item_lookup
 from respan.irt import fit as irt
 from respan.irt.m2 import m2_stats as m2, model_stats as all_stats
-from respan.lineage import cut_lineage
+from respan.lineage import cut_lineage, scratch_path
 from respan.operators import compare, rows
 from respan.operators.counts import item_counts
+from respan.operators.quality import Gate, allowed_values
+from respan.sources import publish as publishing
 from respan.operators.trim import (
     TrimLimits, flag_summary as flags, item_diagnostics as diagnose, ranked_items, trim_pools as pools,
     trim_review as review,
@@ -250,6 +252,27 @@ def model_stats_complete(fx):
     return all_stats(packed, [irt.fit_irt(packed, k) for k in ("rasch", "2pl")])
 
 
+@query("select global_id, round(sum(w*theta),6)+0.0 as theta, round(sqrt(sum(w*theta*theta)-power(sum(w*theta),2)),6) as SE_theta from or_post group by global_id")
+def read_model(fx):
+    """Scores from a model that was published and read back."""
+    state = fixed_model(fx)
+    params, fit = irt.params_table(fx.spark, state), fixed_fit(fx).where("model = '2pl'")
+    path = scratch_path(fx.spark, "published")
+    publishing.publish_model(irt.FittedModel("2pl", state, params, fit, []), path)
+    return irt.score_eap(fx.response, publishing.read_model(fx.spark, path))
+
+
+@query("""select 'answers' as "table", 'response_allowed' as gate, 'stop' as severity, count(*) filter (response not in (0,1)) as n_violations, min(global_id) filter (response not in (0,1)) as sample, count(*) as n_rows from fx_retest
+ union all select 'answers', 'late_testlet', 'warn', count(*) filter (substr(QID,2,3) > '170'), min(global_id) filter (substr(QID,2,3) > '170'), count(*) from fx_retest""")
+def publish_gates(fx):
+    """Gates watched in the job that writes the answers, and the rows that were published."""
+    late = Gate("late_testlet", F.substring("QID", 2, 3) > "170", "warn")
+    path = scratch_path(fx.spark, "published")
+    report = publishing.publish({"answers": fx.retest}, path, {"answers": [allowed_values("response", (0, 1)), late]}, {"answers": "global_id"})
+    n = publishing.read_published(fx.spark, path)["answers"].agg(F.count("*").alias("n_rows"))
+    return report.crossJoin(F.broadcast(n))
+
+
 # ---- diagnostics and trimming --------------------------------------------
 
 _DIAG = "QID, testlet, domain_code, domain, n_responded, round(prop_correct,6) as prop_correct, round(a,6) as a, round(b,6)+0.0 as b, flag_low_a, flag_high_a, flag_extreme_b, flag_low_n, flag_poor_p, n_flags, trim_candidate"

@@ -256,6 +256,24 @@ def group_missingness(fx):
     return qa.group_missingness(respondents(fx), "college", _MISS)
 
 
+@query("""select concat_ws(',', case when age is null then 'age' end, case when gender is null then 'gender' end, case when pell is null then 'pell' end, case when transfer is null then 'transfer' end) as missing,
+ ((age is null)::int + (gender is null)::int + (pell is null)::int + (transfer is null)::int) as n_missing, count(*) as n_rows from or_numbers group by all""")
+def missing_patterns(fx):
+    return qa.missing_patterns(respondents(fx), _MISS)
+
+
+@query("""with a as (select distinct global_id, QID from fx_response), t as (select count(distinct global_id) as n from a), s as (select QID, count(*) as n from a group by QID),
+ b as (select x.QID as q1, y.QID as q2, count(*) as n from a x join a y on x.global_id = y.global_id and x.QID <= y.QID group by all)
+ select x.QID as column_1, y.QID as column_2, t.n - x.n - y.n + coalesce(b.n, 0) as n_rows from s x join s y on x.QID <= y.QID cross join t left join b on b.q1 = x.QID and b.q2 = y.QID where t.n - x.n - y.n + coalesce(b.n, 0) > 0""")
+def co_missingness(fx):
+    """Items that go unanswered together, over the wide table."""
+    from catalog.model import item_ids
+
+    seen = {r.QID for r in fx.response.select("QID").distinct().collect()}  # a row for each item
+    items = [q for q in item_ids() if q in seen]
+    return qa.co_missingness(to_wide(fx.response, items), items)
+
+
 @query("""with p as (select global_id, count(*) as n_items, sha256(string_agg(QID||'='||response::varchar, ',' order by QID||'='||response::varchar)) as pattern from fx_double_response group by global_id)
  select pattern, n_items, count(*) as n_respondents, min(global_id) as first_id from p group by pattern, n_items having count(*) > 1""")
 def score_pattern_groups(fx):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from respan.functions.columns import clean_text
@@ -215,6 +217,51 @@ def row_missingness(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.select(n.alias("n_missing")).groupBy("n_missing").agg(F.count("*").alias("n_rows"))
 
 
+_WORD = 60  # columns in one integer of a mask
+
+
+def missing_masks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``mask``: bits of the missing columns of every row, 60 columns in each integer."""
+    words = [cols[at : at + _WORD] for at in range(0, len(cols), _WORD)]
+    bits = lambda some: sum((F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(some)), F.lit(0).cast("long"))
+    return df.select(F.array(*[bits(w) for w in words]).alias("mask"))
+
+
+def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``missing`` (the columns, comma-joined, "" for none), ``n_missing`` and ``n_rows`` of every pattern of missing columns.
+
+    Rows are counted by mask before the shuffle; names are put to the masks of the pattern table alone.
+    """
+    counts = missing_masks(df, list(cols)).groupBy("mask").agg(F.count("*").alias("n_rows"))
+    names = F.array(*[F.struct(F.lit(i // _WORD).alias("w"), F.lit(i % _WORD).alias("b"), F.lit(c).alias("c")) for i, c in enumerate(cols)])
+    held = F.filter(names, lambda x: F.call_function("shiftright", F.get("mask", x["w"]), x["b"]).bitwiseAND(F.lit(1)) == 1)
+    return counts.select(F.array_join(F.transform(held, lambda x: x["c"]), ",").alias("missing"), F.size(held).alias("n_missing"), "n_rows")
+
+
+def co_missingness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``column_1, column_2, n_rows``: in how many rows both of two columns are missing, for every two that ever are.
+
+    A task sums the cross products of its masks and sends one row for each pair, however many rows it reads.  Columns come in the
+    order given; a column with itself counts its missing rows.
+    """
+    cols = list(cols)
+
+    def run(batches):
+        total = np.zeros((len(cols), len(cols)))
+        for batch in batches:
+            masks = batch["mask"].flatten().to_numpy().reshape(-1, -(-len(cols) // _WORD))
+            for at in range(0, len(masks), 4096):
+                part = masks[at : at + 4096]
+                gone = ((part[:, :, None] >> np.arange(_WORD)) & 1).reshape(len(part), -1)[:, : len(cols)].astype(float)
+                total += gone.T @ gone
+        i, j = np.nonzero(np.triu(total))
+        yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32), "n": total[i, j].astype(np.int64)})
+
+    sums = missing_masks(df, cols).mapInArrow(run, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n_rows"))
+    name = lambda at: F.get(F.array(*[F.lit(c) for c in cols]), at)
+    return sums.select(name(F.col("i")).alias("column_1"), name(F.col("j")).alias("column_2"), "n_rows")
+
+
 def group_missingness(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     """Missing percent of each column within each group."""
     wide = df.groupBy(group).agg(

@@ -86,3 +86,25 @@ def test_factor_levels_can_follow_the_dif_groups(spark):
     b = sel.selection_metrics(counts, dif=["gender"]).collect()[0]
     assert (a["overall_n"], a["min_dif_n"], a["min_factor_n"], a["domain"]) == (173, 70, 70, "structure")
     assert (b["min_dif_n"], b["min_factor_n"], b["domain"]) == (80, 5, "summary_synthesis")
+
+
+def test_missing_patterns_and_pairs(spark):
+    """Over more columns than one integer holds."""
+    import random
+
+    rng = random.Random(2)
+    cols = [f"c{i:03d}" for i in range(130)]
+    sheets = [[None if rng.random() < 0.1 else 1 for _ in cols] for _ in range(60)] + [[None] * 130, [1] * 130, [1] * 130]
+    df = spark.createDataFrame(sheets, ", ".join(f"{c} int" for c in cols)).repartition(4)
+    gone = [[c for c, v in zip(cols, s) if v is None] for s in sheets]
+    want = {}
+    for g in gone:
+        want[",".join(g)] = want.get(",".join(g), 0) + 1
+    assert {r["missing"]: (r["n_missing"], r["n_rows"]) for r in qa.missing_patterns(df, cols).collect()} == {k: (len(k.split(",")) if k else 0, n) for k, n in want.items()}
+    pairs = {}
+    for g in gone:
+        for i, a in enumerate(g):
+            for b in g[i:]:
+                pairs[a, b] = pairs.get((a, b), 0) + 1
+    assert {(r["column_1"], r["column_2"]): r["n_rows"] for r in qa.co_missingness(df, cols).collect()} == pairs
+    assert qa.co_missingness(df.limit(0), cols).isEmpty()
