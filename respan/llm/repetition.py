@@ -2,8 +2,8 @@
 
 For several n-gram lengths, every character of a word that lies in an n-gram found twice or more in
 the same text counts as repeated (first copies too), and likewise every character of a line equal to an
-earlier one.  The shares of repeated characters, the share of symbols, of short table-like lines and of
-shouted words are held against fixed thresholds.
+earlier one.  The shares of repeated characters and the number of symbols for each word are held against fixed
+thresholds.
 """
 
 from __future__ import annotations

@@ -225,6 +225,21 @@ def test_token_files(spark, table, tmp_path):
         read_digests(spark, str(tmp_path / "broken")).collect()
 
 
+def test_token_query_equals_the_library(spark):
+    """Every document of the table, through the files."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    start, want = 0, []
+    for (i, _), coded in zip(docs, tokenizer.encode_batch([t or "" for _, t in docs], add_special_tokens=False)):
+        ids = [*coded.ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = queries.op10_token_ids(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    same(got, want)
+
+
 def test_range_coder():
     from respan.llm.rangecoder import decode_blocks, encode_blocks
 
