@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.basic import numbered_cases, patches, respondents
 from catalog.registry import query
 from respan.operators.rows import cast_items, to_wide
-from respan.operators import compare, counts as ct, dedupe, describe as ds, matching, patterns, quality as qa, selection as sel
+from respan.operators import compare, counts as ct, dedupe, describe as ds, matching, patterns, quality as qa, selection as sel, smooth
 
 CATEGORIES = ["college", "wave", "age", "gender", "ethnicity", "military", "pell"]
 GROUPS = ["college", "wave", "gender", "ethnicity", "military", "pell"]
@@ -418,6 +418,25 @@ def binned_trend(fx):
     return ds.binned_trend(compared(fx), "age", "absdiff_2pl_bif", 10)
 
 
+_SPLINE = ["1.0", "u", "u*u", "u*u*u", *[f"power(greatest(u - {j}/9.0, 0), 3)" for j in range(1, 9)], "y"]
+
+
+@query("""with d as (select theta_rasch as x, abs(theta_2pl - theta_bif) as y from fx_scores where theta_rasch is not null and theta_2pl is not null), e as (select min(x) as lo, max(x) as hi from d),
+ r as (select (x - lo) / (hi - lo) as u, y from d, e) """ + " union all ".join(f"select {i} as i, {j} as j, round(sum({a}*{b}),4)::double as value from r" for i, a in enumerate(_SPLINE) for j, b in enumerate(_SPLINE) if i <= j))
+def spline_sums(fx):
+    """The normal equations of the smoother, summed over all rows."""
+    gaps = fx.scores.select(F.col("theta_rasch").alias("x"), F.abs(F.col("theta_2pl") - F.col("theta_bif")).alias("y"))
+    ends = gaps.where("x is not null and y is not null").agg(F.min("x"), F.max("x")).first()
+    return smooth.cross_products(gaps, "x", "y", *ends).withColumn("value", F.round("value", 4))
+
+
+@query()
+def smooth_trend(fx):
+    """How far two models' scores are apart, over the score: the curve that the plot shows."""
+    gaps = fx.scores.withColumn("gap", F.abs(F.col("theta_2pl") - F.col("theta_bif")))
+    return smooth.smooth_trend(gaps, "theta_rasch", "gap")
+
+
 @query(f"""with e as (select min(theta_rasch) as xl, max(theta_rasch) as xh, min(theta_bif) as yl, max(theta_bif) as yh from fx_scores)
  select {_bin('theta_rasch', 'xl', 'xh', 50)} as x_bin, {_bin('theta_bif', 'yl', 'yh', 50)} as y_bin, count(*) as n from fx_scores, e group by 1, 2""")
 def bin_2d(fx):
