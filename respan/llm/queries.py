@@ -96,10 +96,13 @@ URL_RULES = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("bloc
 
 
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages carry no labels: what the rules decide are the labelled urls."""
+    """Pages carry no labels: urls that a rule blocks are labelled so, all others count as good.
+
+    Taking only what rules decide would teach the trees to block any domain of which rules know nothing but blocked urls.
+    """
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     decided = fitting_rule(url_host(F.col("url")), url_path(F.col("url")), URL_RULES)[1]
-    model = fit_urls(pages.select("url", (decided == "block").alias("blocked")))
+    model = fit_urls(pages.select("url", F.coalesce(decided == "block", F.lit(False)).alias("blocked")))
     return judge_urls(pages, model, URL_RULES, keep=["page_id"])
 
 
