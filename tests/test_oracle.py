@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from check_oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"fit_rasch", "fit_2pl", "fit_bifactor", "fit_2pl_params", "model_stats"}  # covered by test_irt
+SLOW = {"fit_rasch", "fit_2pl", "fit_bifactor", "fit_2pl_params", "model_stats", "model_stats_complete"}  # covered by test_irt
 
 
 @pytest.fixture(scope="module")
