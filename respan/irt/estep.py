@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from respan.irt.model import ITEM_BLOCK, ModelState, update_items
 from respan.operators.dedupe import answer_lists
@@ -46,14 +46,18 @@ def collapse(packed: DataFrame, kind: str) -> DataFrame:
     Equal answers to equal items are one row.  Under the Rasch model the number of right answers is all that counts, so there
     respondents of equal items and equal number are one row, with each item's share of right answers.
     """
+    patterns = packed.groupBy("items", "answers").agg(F.count("*").cast("double").alias("weight"))
+    as_double = F.transform("answers", lambda y: y.cast("double")).alias("answers")
     if kind != "rasch":
-        rows = packed.groupBy("items", "answers").agg(F.count("*").cast("double").alias("weight"))
-        return rows.select("items", F.transform("answers", lambda y: y.cast("double")).alias("answers"), "weight")
+        return patterns.select("items", as_double, "weight")
     total = F.aggregate("answers", F.lit(0), lambda s, y: s + y)
-    places = packed.select("items", total.alias("total"), F.posexplode("answers").alias("place", "y"))
-    shares = places.groupBy("items", "total", "place").agg(F.avg(F.col("y").cast("double")).alias("share"), F.count("*").alias("n"))
-    rows = shares.groupBy("items", "total").agg(F.array_sort(F.collect_list(F.struct("place", "share"))).alias("s"), F.max("n").cast("double").alias("weight"))
-    return rows.select("items", F.transform("s", lambda c: c["share"]).alias("answers"), "weight")
+    sized = patterns.withColumn("total", total).withColumn("k", F.count("*").over(W.partitionBy("items", "total")))
+    # only where several patterns meet are answers taken apart
+    places = sized.where("k > 1").select("items", "total", "weight", F.posexplode("answers").alias("place", "y"))
+    shares = places.groupBy("items", "total", "place").agg((F.sum(F.col("weight") * F.col("y")) / F.sum("weight")).alias("share"), F.sum("weight").alias("n"))
+    met = shares.groupBy("items", "total").agg(F.array_sort(F.collect_list(F.struct("place", "share"))).alias("s"), F.max("n").alias("weight"))
+    met = met.select("items", F.transform("s", lambda c: c["share"]).alias("answers"), "weight")
+    return sized.where("k = 1").select("items", as_double, "weight").unionByName(met)
 
 
 def matrices(batch: pa.RecordBatch, n_items: int, rows: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -90,49 +94,151 @@ def posterior_1d(state: ModelState, correct: np.ndarray, answered: np.ndarray):
     return w / total, (top + np.log(total))[:, 0]
 
 
-def posterior_bifactor(state: ModelState, correct: np.ndarray, answered: np.ndarray, sums=None, weight=None):
-    """(weights over general nodes, log marginal); adds item sums to ``sums`` = (n, r) if given, each row ``weight`` times.
+class BifactorTables:
+    """The bifactor posterior, by the answers to one testlet at a time.
 
-    Given g the testlets are independent, so each is integrated over its own factor: the
-    grid is two-dimensional per testlet, whatever the number of testlets.
+    Given g the testlets are independent, and what a testlet adds to a respondent's posterior depends on the answers to
+    that testlet alone.  So the integral over u is worked out once for each different answer pattern of a testlet, and kept over the
+    batches of a task; a respondent only adds up rows of these tables.  For the item sums the tables collect the
+    respondents' weights over g.  ``CELLS`` bounds the tables: full ones are added to the sums and begun anew.
     """
-    g, u = state.grid.general, state.grid.specific
-    design = state.grid.design()
-    prior_u = state.grid.log_prior_specific
-    log_g = np.tile(state.grid.log_prior, (len(correct), 1))
-    parts = []
-    for t in np.unique(state.factor):
-        cols = np.flatnonzero(state.factor == t)
-        rows = np.flatnonzero(answered[:, cols].any(axis=1))
-        if not len(rows):
-            continue
-        eta = state.coef[cols] @ design.T
-        y, m = correct[np.ix_(rows, cols)], answered[np.ix_(rows, cols)]
-        joint = (y @ eta - m @ np.logaddexp(0.0, eta)).reshape(len(rows), len(g), len(u)) + prior_u
+
+    def __init__(self, state: ModelState, collect: bool = False):
+        self.state, self.collect = state, collect
+        grid = state.grid
+        self.design, self.prior_u = grid.design(), grid.log_prior_specific
+        self.shape = (len(grid.general), len(grid.specific))
+        self.sums = [np.zeros((len(state.items), len(self.design))) for _ in range(2)] if collect else None
+        self.groups = []
+        for t in np.unique(state.factor):
+            cols = np.flatnonzero(state.factor == t)
+            alone = not state.coef[cols, 1].any()  # items without a slope on u are independent of each other
+            self.groups += [cols[i : i + 6] for i in range(0, len(cols), 6)] if alone else [cols]
+        self._levels(np.array([0.0, 1.0]))
+
+    def _levels(self, levels: np.ndarray) -> None:
+        """Answers as digits of words that a double holds exactly: 0 for none, then the place among ``levels``."""
+        self.levels, self.base = levels, len(levels) + 1
+        room = int(52 / np.log2(self.base))
+        self.word, self.unit = np.zeros(len(self.state.items), int), np.zeros(len(self.state.items))
+        self.words, at = [], 0
+        for cols in self.groups:
+            n = -(-len(cols) // room)
+            self.words.append(slice(at, at + n))
+            self.word[cols] = at + np.arange(len(cols)) // room
+            self.unit[cols] = float(self.base) ** (np.arange(len(cols)) % room)
+            at += n
+        self.n_words = at
+        self._empty()
+
+    def _empty(self) -> None:
+        g = self.shape[0]
+        self.place = [{} for _ in self.groups]
+        self.keys = [np.zeros((0, w.stop - w.start)) for w in self.words]
+        self.log = [np.zeros((0, g)) for _ in self.groups]
+        self.mass = [np.zeros((0, g)) for _ in self.groups]
+        self.size = 0
+
+    def _joint(self, k: int, keys: np.ndarray):
+        """(log of the integral over u, share of each u, answered, answers) of patterns of a testlet."""
+        cols = self.groups[k]
+        digit = (keys[:, self.word[cols] - self.words[k].start] // self.unit[cols] % self.base).astype(int)
+        m = (digit > 0).astype(float)
+        y = np.where(digit > 0, self.levels[digit - 1], 0.0)
+        eta = self.state.coef[cols] @ self.design.T
+        joint = (y @ eta - m @ np.logaddexp(0.0, eta)).reshape(len(keys), *self.shape) + self.prior_u
         top = joint.max(axis=2, keepdims=True)
         joint = np.exp(joint - top)
         total = joint.sum(axis=2, keepdims=True)
-        log_g[rows] += (top + np.log(total))[:, :, 0]
-        if sums is not None:
-            parts.append((cols, rows, y, m, joint / total))
-    top = log_g.max(axis=1, keepdims=True)
-    w = np.exp(log_g - top)
-    total = w.sum(axis=1, keepdims=True)
-    w /= total
-    for cols, rows, y, m, share in parts:
-        both = (share * w[rows][:, :, None]).reshape(len(rows), -1)
-        if weight is not None:
-            both *= weight[rows][:, None]
-        sums[0][cols] += m.T @ both
-        sums[1][cols] += y.T @ both
-    return w, (top + np.log(total))[:, 0]
+        return (top + np.log(total))[:, :, 0], joint / total, m, y
+
+    def _at_a_time(self, n: int):
+        step = max(1, CELLS // len(self.design))
+        return [slice(i, i + step) for i in range(0, n, step)]
+
+    def _places(self, k: int, keys: np.ndarray) -> np.ndarray:
+        """Rows of the testlet's tables; patterns not met before are added to them."""
+        names = keys[:, 0] if keys.shape[1] == 1 else np.ascontiguousarray(keys).view(f"V{8 * keys.shape[1]}")[:, 0]
+        found, first, inverse = np.unique(names, return_index=True, return_inverse=True)
+        known, names = self.place[k], found.tolist()
+        fresh = [i for i, x in enumerate(names) if x not in known]
+        if fresh:
+            more = keys[first[fresh]]
+            for i in fresh:
+                known[names[i]] = len(known)
+            self.keys[k] = np.concatenate([self.keys[k], more])
+            self.log[k] = np.concatenate([self.log[k], *[self._joint(k, more[s])[0] for s in self._at_a_time(len(more))]])
+            self.mass[k] = np.concatenate([self.mass[k], np.zeros((len(more), self.shape[0]))])
+            self.size += len(more)
+        return np.array([known[x] for x in names])[inverse.reshape(-1)]
+
+    def posterior(self, who: np.ndarray, cols: np.ndarray, values: np.ndarray, n_rows: int, weight: np.ndarray | None = None):
+        """(weights over general nodes, log marginal) of the respondents whose cells are given."""
+        if self.size * self.shape[0] > CELLS:
+            self.flush()
+        other = np.setdiff1d(values, self.levels)
+        if len(other):
+            self.flush()
+            self._levels(np.union1d(values, self.levels))
+        codes = np.bincount(who * self.n_words + self.word[cols], (1.0 + np.searchsorted(self.levels, values)) * self.unit[cols], n_rows * self.n_words)
+        codes = codes.reshape(n_rows, self.n_words)
+        log_g = np.tile(self.state.grid.log_prior, (n_rows, 1))
+        places = []
+        for k, w in enumerate(self.words):
+            rows = np.flatnonzero(codes[:, w].any(axis=1))
+            if len(rows):
+                at = self._places(k, codes[rows, w])
+                log_g[rows] += self.log[k][at]
+                places.append((k, rows, at))
+        top = log_g.max(axis=1, keepdims=True)
+        w = np.exp(log_g - top)
+        total = w.sum(axis=1, keepdims=True)
+        w /= total
+        if self.collect:
+            g = self.shape[0]
+            own = w if weight is None else w * weight[:, None]
+            for k, rows, at in places:
+                cell = (at[:, None] * g + np.arange(g)).ravel()
+                self.mass[k] += np.bincount(cell, own[rows].ravel(), len(self.mass[k]) * g).reshape(-1, g)
+        return w, (top + np.log(total))[:, 0]
+
+    def flush(self) -> None:
+        """Adds the weights collected so far to the item sums."""
+        if self.collect:
+            for k, cols in enumerate(self.groups):
+                for s in self._at_a_time(len(self.keys[k])):
+                    _, share, m, y = self._joint(k, self.keys[k][s])
+                    both = (share * self.mass[k][s][:, :, None]).reshape(len(m), -1)
+                    self.sums[0][cols] += m.T @ both
+                    self.sums[1][cols] += y.T @ both
+        self._empty()
+
+
+def _cells(batch: pa.RecordBatch, rows: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, rows, row, item, answer) of up to ``rows`` respondents at a time."""
+    lists, answers = batch["items"], batch["answers"]
+    offsets, flat, values = lists.offsets.to_numpy(), lists.values.to_numpy(), answers.values.to_numpy()
+    shift = answers.offsets.to_numpy()[0] - offsets[0]
+    for lo in range(0, batch.num_rows, rows):
+        hi = min(lo + rows, batch.num_rows)
+        start, stop = offsets[lo], offsets[hi]
+        who = np.repeat(np.arange(hi - lo), np.diff(offsets[lo : hi + 1]))
+        yield lo, hi - lo, who, flat[start:stop], values[start + shift : stop + shift].astype(float)
+
+
+def posteriors_of(state: ModelState, batch: pa.RecordBatch, tables: BifactorTables | None, weight: np.ndarray | None = None) -> Iterator[tuple]:
+    """(first row, weights over general nodes, log marginal, correct, answered); a bifactor model has no matrices."""
+    if tables is None:
+        for lo, correct, answered in matrices(batch, len(state.items), _rows_at_a_time(state)):
+            yield (lo, *posterior_1d(state, correct, answered), correct, answered)
+        return
+    for lo, n_rows, who, cols, values in _cells(batch, max(1, CELLS // max(1, tables.n_words * tables.shape[0]))):
+        part = None if weight is None else weight[lo : lo + n_rows]
+        yield (lo, *tables.posterior(who, cols, values, n_rows, part), None, None)
 
 
 def _rows_at_a_time(state: ModelState) -> int:
-    width = len(state.items)
-    if state.kind == "bifactor":
-        width = len(np.unique(state.factor)) * len(state.grid.general) * len(state.grid.specific)
-    return max(1, CELLS // max(1, width))
+    return max(1, CELLS // max(1, len(state.items)))
 
 
 # ---- estimation sums -----------------------------------------------------
@@ -148,20 +254,20 @@ def _sums(state: ModelState, blocks: bool = False) -> Callable[[Iterator[pa.Reco
         n_items, n_nodes = len(state.items), len(state.grid.design())
         n, r = np.zeros((n_items, n_nodes)), np.zeros((n_items, n_nodes))
         loglik = count = second = 0.0
-        rows = _rows_at_a_time(state)
+        tables = BifactorTables(state, collect=True) if state.kind == "bifactor" else None
         for batch in batches:
             times = batch["weight"].to_numpy() if "weight" in batch.schema.names else np.ones(batch.num_rows)
-            for lo, correct, answered in matrices(batch, n_items, rows):
-                weight = times[lo : lo + len(correct)]
-                if state.kind == "bifactor":
-                    w, marginal = posterior_bifactor(state, correct, answered, (n, r), weight)
-                else:
-                    w, marginal = posterior_1d(state, correct, answered)
+            for lo, w, marginal, correct, answered in posteriors_of(state, batch, tables, times):
+                weight = times[lo : lo + len(w)]
+                if tables is None:
                     n += answered.T @ (w * weight[:, None])
                     r += correct.T @ (w * weight[:, None])
                 loglik += weight @ marginal
                 count += weight.sum()
                 second += weight @ (w @ state.grid.general**2)
+        if tables is not None:
+            tables.flush()
+            n, r = tables.sums
         if count == 0:
             return
         if blocks:  # one row for each block of items
@@ -245,11 +351,9 @@ def em_step(packed: DataFrame, state: ModelState, slope_bound: float | None = No
 def _per_respondent(state: ModelState, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         theta = state.grid.general
-        rows = _rows_at_a_time(state)
-        post = posterior_bifactor if state.kind == "bifactor" else posterior_1d
+        tables = BifactorTables(state) if state.kind == "bifactor" else None
         for batch in batches:
-            for lo, correct, answered in matrices(batch, len(state.items), rows):
-                w, marginal = post(state, correct, answered)
+            for lo, w, marginal, _, _ in posteriors_of(state, batch, tables):
                 mean = w @ theta
                 sd = np.sqrt((w * (theta[None, :] - mean[:, None]) ** 2).sum(axis=1))
                 yield pa.RecordBatch.from_arrays(
