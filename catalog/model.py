@@ -36,13 +36,14 @@ def fixed_model(fx, kind="2pl", items="true"):
 
 def fixed_fit(fx, items="true"):
     """Fit rows of the fixed models (npar as in a free fit)."""
-    out = []
+    out, packed = [], None
     for name in ("rasch", "2pl"):
         state = fixed_model(fx, name, items)
         n = len(state.items)
+        packed = packed or irt.pack(fx.response, state.items)  # the models have the same items
         npar = n + 1 if name == "rasch" else 2 * n
         out.append(
-            irt.log_likelihood(fx.response, state).select(
+            irt.log_likelihood(packed, state).select(
                 F.lit(name).alias("model"), F.lit(n).alias("n_items"), F.lit(npar).alias("npar"), "n_respondents", "logLik"
             )
         )
@@ -144,7 +145,8 @@ def e_step_bifactor(fx):
 def pattern_log_likelihood(fx):
     """The three models at fixed parameters, summed over answer patterns."""
     models = {"rasch": fixed_model(fx, "rasch"), "2pl": fixed_model(fx), "bifactor": fixed_bifactor(fx)}
-    return rows.stack(*[irt.pattern_log_likelihood(fx.response, m).withColumn("model", F.lit(name)) for name, m in models.items()]).withColumn("logLik", F.round("logLik", 4))
+    packed = irt.pack(fx.response, models["rasch"].items)  # the models have the same items
+    return rows.stack(*[irt.pattern_log_likelihood(packed, m).withColumn("model", F.lit(name)) for name, m in models.items()]).withColumn("logLik", F.round("logLik", 4))
 
 
 @query("""with l as (select testlet::int as testlet, QID from or_lookup) select testlet as factor, testlet, list(rn order by rn) as item_indices, count(*) as n_items
@@ -232,7 +234,7 @@ def model_stats(fx):
 
 def complete_answers(fx):
     """Answers to the first testlet of those who answered all of it: a table without gaps that grows with the respondents."""
-    own = fx.response.where(F.regexp_extract("QID", "([0-9]+)$", 1) == "1")
+    own = cut_lineage(fx.response.where(F.regexp_extract("QID", "([0-9]+)$", 1) == "1"))  # used more than once
     whole = own.groupBy("global_id").agg(F.count("*").alias("n")).where("n = 6").select("global_id")
     return own.join(whole, "global_id", "left_semi")
 

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from respan.lineage import cut_lineage
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
@@ -95,7 +97,29 @@ select QID as legacy_QID, concat(QID,'x') as QID from fx_params where a > 1.2"""
     }
 
 
-_VIEW_SQL = view_sql("spark")
+# The same rows for Spark at scale: narrow columns are made below the shuffles, what a respondent's answers share is joined last,
+# so that the rows lie as they are grouped, and the items are listed without the answers.
+_TAKEN = """
+select sid, coalesce(fixed, 4+(sid*7+p9)%27) as tl, slot, u from (
+ select o_custkey as sid, fixed, p9, slot, u from (
+  select l_orderkey, case when l_partkey % 10 < 3 then 1+l_partkey%3 end as fixed, l_partkey%9 as p9, (l_suppkey*5+l_orderkey)%6 as slot,
+   ((l_orderkey*7919+l_linenumber*104729+l_partkey*1299709)%10007)/10007.0e0 as u from lineitem) l join orders on l_orderkey=o_orderkey) x"""
+_QID = f"concat('Q',lpad(cast(k as string),3,'0'),{_CODE.format(k='k')},cast(tl as string))"
+_SPARK_SQL = {
+    "fx_response": f"""
+select concat('G',lpad(cast(sid as string),6,'0')) as global_id, {_QID} as QID,
+ case when u < 1.0e0/(1.0e0+exp(-(0.6e0+((k-1)%7)*0.2e0)*(theta+1.2e0*(2.0e0*((sid*tl*7919+sid*31+tl*1013)%1009)/1008.0e0-1.0e0)-(((k-1)*37%180)/60.0e0-1.5e0)))) then 1 else 0 end as response
+from (select sid, tl, k, min(u) as u, min(theta) as theta from (
+ select sid, tl, (tl-1)*6+1+slot as k, u, theta from ({_TAKEN}) t join (select c_custkey, (c_acctbal-4500.0e0)/3200.0e0 as theta from customer) c on sid=c_custkey) y
+ group by sid, tl, k) z""",
+    "fx_params": f"""
+select QID, cast(3 + (k-1) % 7 as double) / 5 as a, cast((k-1)*37 % 180 - 90 as double) / 60 as b, cast(0 as double) as g, cast(1 as double) as u
+ from (select QID, cast(substr(QID,2,3) as int) as k from (select distinct {_QID} as QID from (
+  select distinct tl, (tl-1)*6+1+slot as k from ({_TAKEN}) t left semi join customer on sid=c_custkey) i) q) z""",
+}
+_ITEM_SIZED = ("fx_params",)  # read by many steps of a query: made once
+
+_VIEW_SQL = view_sql("spark") | _SPARK_SQL
 _OPENED: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -124,6 +148,8 @@ class Fixtures:
                     if used != name and _uses(sql, used):
                         self._open(used).createOrReplaceTempView(used)
                 df = self.spark.sql(sql)
+                if name in _ITEM_SIZED:
+                    df = cut_lineage(df)
             _OPENED[key] = df
         return _OPENED[key]
 

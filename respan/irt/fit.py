@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window as W, functions as F
 from pyspark.sql.types import DoubleType
 import pandas as pd
 
@@ -14,8 +14,7 @@ from respan.irt.chi2 import chi2_upper_tail
 from respan.irt.estep import collapse, em_step, expected_sums, item_list, pack_responses, pair_sums, respondent_posteriors
 from respan.irt.model import Grid, ModelState, grid_1d, grid_bifactor, start_state
 from respan.lineage import cut_lineage
-from respan.operators.counts import item_counts
-from respan.operators.quality import check, enforce, response_gates
+from respan.operators.quality import GateError, response_gates
 from respan.operators.rows import testlet_blocks
 
 _PARAM_DDL = (
@@ -82,19 +81,39 @@ class PackedResponses:
 
 
 def prepare(resp: DataFrame) -> PackedResponses:
-    """Three passes over the responses: gates, counts of the items (one row each), packing (and checkpoint).
+    """Two passes over the responses: gates and counts of the items (one row each), packing (and checkpoint).
 
     Answers outside 0 and 1 and rows without a respondent or item raise ``GateError``.  The packed
     answers lie in a few partitions for each core, so an iteration's sums do not grow with the
     number of tasks that read the input.
     """
-    enforce(check(resp, response_gates(), "QID"))
-    counts = item_counts(resp).select("QID", "n_wrong", "n_correct").filter("n_wrong + n_correct > 0")
-    found = counts.collect()
+    found = _gated_counts(resp)
     flat = {r["QID"] for r in found if not r["n_wrong"] or not r["n_correct"]}
     items = sorted(r["QID"] for r in found if r["QID"] not in flat)
-    parts = 4 * resp.sparkSession.sparkContext.defaultParallelism
-    return PackedResponses(cut_lineage(pack_responses(resp, items).coalesce(parts)), items, sorted(flat))
+    return PackedResponses(_kept(pack_responses(resp, items)), items, sorted(flat))
+
+
+def pack(resp: DataFrame, items: list[str]) -> PackedResponses:
+    """The answers to these items packed and kept in one pass, for several models of known parameters."""
+    return PackedResponses(_kept(pack_responses(resp, items)), items, [])
+
+
+def _kept(packed: DataFrame) -> DataFrame:
+    return cut_lineage(packed.coalesce(4 * packed.sparkSession.sparkContext.defaultParallelism))
+
+
+def _gated_counts(resp: DataFrame) -> list[Row]:
+    """``QID, n_wrong, n_correct`` of the answered items; the gates are summed in the same pass, by item."""
+    y, gates = F.col("response"), response_gates()
+    aggs = [F.count_if(y == 0).alias("n_wrong"), F.count_if(y == 1).alias("n_correct")]
+    aggs += [F.count_if(F.coalesce(g.violation, F.lit(False))).alias(f"v{i}") for i, g in enumerate(gates)]
+    found = resp.groupBy("QID").agg(*aggs).collect()
+    for i, g in enumerate(gates):
+        wrong = [r for r in found if r[f"v{i}"]]
+        if wrong:
+            sample = min((r["QID"] for r in wrong if r["QID"] is not None), default=None)
+            raise GateError(f"{g.name}: {sum(r[f'v{i}'] for r in wrong)} rows, e.g. {sample}")
+    return [r for r in found if r["n_wrong"] + r["n_correct"] > 0]
 
 
 def packed_for(resp: DataFrame | PackedResponses, items: list[str]) -> DataFrame:
@@ -258,10 +277,10 @@ def e_step(resp: DataFrame, model: FittedModel | ModelState, collapsed: bool = F
     return sums.join(F.broadcast(names), "item").select("QID", "node", "n", "r")  # item-sized
 
 
-def pattern_log_likelihood(resp: DataFrame, model: FittedModel | ModelState) -> DataFrame:
+def pattern_log_likelihood(resp: DataFrame | PackedResponses, model: FittedModel | ModelState) -> DataFrame:
     """One row: marginal log-likelihood, the number of respondents, and of rows they collapse to in a fit."""
     state = _as_state(model)
-    rows = cut_lineage(collapse(pack_responses(resp, state.items), state.kind))
+    rows = cut_lineage(collapse(packed_for(resp, state.items), state.kind))
     total = expected_sums(rows, state).filter("item = -1 and node = 0")
     n_rows = rows.agg(F.count("*")).scalar()
     return total.select(F.col("n").alias("logLik"), F.round("r").cast("long").alias("n_respondents"), n_rows.alias("n_patterns"))
