@@ -17,8 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from respan.lineage import cut_lineage
+from respan.llm.calibrate import least_right_scores
 
-SAMPLE_ROWS = 20_000  # labelled urls that the trees are fitted on at most
 COUNTERS = 1 << 16  # for the suffixes of one length
 SUFFIXES = (2, 3)  # labels of a suffix
 PRECISION = 0.95  # share of right ones that blocked urls have on held-out hosts
@@ -44,6 +44,8 @@ class UrlModel(NamedTuple):
     threshold: float
     suffixes: DataFrame  # (level, slot, n, blocked), at most len(SUFFIXES) * COUNTERS rows
     share: float  # of blocked urls among the labelled
+    fitted: int = 0  # labelled urls that the trees were fitted on
+    held: int = 0  # labelled urls that set the threshold
 
 
 def _rest(url: Column) -> Column:
@@ -127,12 +129,12 @@ def with_suffixes(urls: DataFrame, suffixes: DataFrame, share: float, own: bool)
     return urls
 
 
-def fit_urls(labelled: DataFrame, url: str = "url", blocked: str = "blocked", sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> UrlModel | None:
+def fit_urls(labelled: DataFrame, url: str = "url", blocked: str = "blocked", precision: float = PRECISION) -> UrlModel | None:
     """Trees from labelled urls; None without any label.  Runs jobs.
 
-    Suffix statistics count every different labelled url once.  Trees are fitted on at most ``sample_rows`` of them, chosen
-    by a hash; urls of a quarter of the hosts, also chosen by a hash, are held out and set the threshold: the lowest score
-    from which on the share ``precision`` of the held-out urls is blocked rightly.  Null urls and labels are left out; a url with
+    Suffix statistics count every different labelled url once.  Urls of a quarter of the hosts, chosen by a hash, are held
+    out and set the threshold: the lowest score from which on the share ``precision`` of them is blocked rightly.  Trees are
+    fitted on all others.  Null urls and labels are left out; a url with
     several labels counts as blocked.
     """
     flag = F.max(F.col(f"`{blocked}`").cast("int")).alias("blocked")
@@ -145,25 +147,22 @@ def fit_urls(labelled: DataFrame, url: str = "url", blocked: str = "blocked", sa
     suffixes = suffix_statistics(rows)
     if total.blocked in (0, total.n):
         return UrlModel(None, 0.5, suffixes, share)
-    chosen = rows.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
+    rows = rows.orderBy(F.xxhash64("url"), "url")  # the trees do not depend on how the urls lie
     held = F.pmod(F.xxhash64(F.lit("held"), "__host"), F.lit(4)) == 0
-    table = with_suffixes(lexical(chosen, "url"), suffixes, share, own=True).select("url", held.alias("held"), F.col("blocked").cast("double").alias("label"), *FEATURES)
+    table = with_suffixes(lexical(rows, "url"), suffixes, share, own=True).select("url", held.alias("held"), F.col("blocked").cast("double").alias("label"), *FEATURES)
     table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select("url", "held", "label", "features").transform(cut_lineage)
     fit = table.where("not held")
-    if fit.select("label").distinct().count() < 2:
+    kinds = {r.label: r.n for r in fit.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(kinds) < 2:
         fit = table
     trees = GBTClassifier(labelCol="label", maxIter=12, maxDepth=4, seed=1, checkpointInterval=-1).fit(fit)
-    rows = trees.transform(table.where("held")).select(_probability().alias("score"), "label").collect()  # at most sample_rows pairs
-    threshold, right = 0.5, 0
-    ranked = sorted(((r.score, r.label) for r in rows), reverse=True)
-    reached = []
-    for i, (score, label) in enumerate(ranked, 1):
-        right += label
-        if right >= precision * i and (i == len(ranked) or ranked[i][0] < score):
-            reached.append(score)
-    if ranked:
-        threshold = max(0.5, reached[-1]) if reached else 1.1  # never sure enough: nothing is blocked
-    return UrlModel(trees, threshold, suffixes, share)
+    kept = trees.transform(table.where("held")).select(_probability().alias("score"), "label")
+    reached = least_right_scores(kept.withColumn("kind", F.lit("url")), precision)
+    n_held = total.n - sum(kinds.values())
+    threshold = 0.5
+    if n_held:
+        threshold = max(0.5, reached["url"]) if reached else 1.1  # never sure enough: nothing is blocked
+    return UrlModel(trees, threshold, suffixes, share, total.n if len(kinds) < 2 else sum(kinds.values()), n_held)
 
 
 def _probability() -> Column:
