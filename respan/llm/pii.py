@@ -2,8 +2,8 @@
 
 Exact rules give the base spans, which always stay.  Generators of high recall propose more spans, which
 may overlap; each is described by its format and by the text around it.  Gradient-boosted trees, fitted on
-a bounded sample of candidates, score every candidate; one is redacted too if its score reaches the
-threshold of its kind, the lowest at which the held-out half of the sample had the wanted precision.
+half of the labelled candidates, score every candidate; one is redacted too if its score reaches the
+threshold of its kind, the lowest at which the other half had the wanted precision.
 
 The labels do not repeat the exact rules.  Positive are base spans put, in their own surroundings, into a form
 that the exact rules miss: " [at] " for "@", no plus, dots in a card.  Negative are candidates outside the base
@@ -20,6 +20,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from respan.lineage import cut_lineage
+from respan.llm.calibrate import least_right_scores
 from respan.llm.spans import EMPTY, as_text, labelled, match_spans
 
 #: The base kinds in the order in which they are listed.  Lookbehinds and possessive repeats
@@ -40,7 +42,6 @@ GENERATORS = {
     "card": r"(?<![0-9])[0-9]{4}[\x20.-]?[0-9]{4,6}[\x20.-]?[0-9]{4,5}[\x20.-]?[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9])[+(]?[0-9][\x20().0-9-]{5,20}[0-9](?![0-9])",
 }
-SAMPLE_ROWS = 4_000  # candidates the trees are fitted and calibrated on, at most
 PRECISION = 0.99
 _CONTEXT = 40
 _CUES = {
@@ -59,6 +60,8 @@ class Boosted(NamedTuple):
 
     trees: object
     thresholds: dict[str, float]
+    fitted: int = 0  # labelled candidates that the trees were fitted on
+    held: int = 0  # labelled candidates that set the thresholds
 
 
 def digits_of(value: Column) -> Column:
@@ -141,32 +144,19 @@ def _with_base(found: Column, kind: str, rank: int) -> Column:
     return F.transform(found, describe)
 
 
-def fit_trees(found: DataFrame, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> Boosted | None:
-    """Trees and thresholds from at most ``sample_rows`` candidates, chosen by a hash; None if they have one label only."""
-    order = F.xxhash64("row", "kind", "start")
-    chosen = found.orderBy(order, "row", "kind", "start").limit(sample_rows).withColumn("fit", F.pmod(order, F.lit(2)) == 0).cache()
+def fit_trees(found: DataFrame, precision: float = PRECISION) -> Boosted | None:
+    """Trees and thresholds from all candidates, cut in halves by a hash; None if they have one label only.  Runs jobs over ``found``."""
+    chosen = found.withColumn("fit", F.pmod(F.xxhash64("row", "kind", "start"), F.lit(2)) == 0)
     negative = chosen.where("base = 0 and (f_valid = 0 or (kind = 'phone' and f_cue = 0))").withColumn("label", F.lit(0.0))
     columns = ["kind", "fit", "label", *FEATURES]
-    sample = negative.select(columns).union(_reformatted(chosen).select(columns)).cache()
-    fit = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    labels = {r.label for r in fit.where("fit").select("label").distinct().collect()}
-    if labels != {0.0, 1.0}:
-        sample.unpersist()
-        chosen.unpersist()
+    labelled_rows = cut_lineage(negative.select(columns).union(_reformatted(chosen).select(columns)))
+    fit = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(labelled_rows)
+    sizes = {(r.fit, r.label): r.n for r in fit.groupBy("fit", "label").agg(F.count("*").alias("n")).collect()}
+    if {label for own, label in sizes if own} != {0.0, 1.0}:
         return None
     trees = GBTClassifier(labelCol="label", maxIter=10, maxDepth=4, seed=1, checkpointInterval=-1).fit(fit.where("fit"))
-    held = scored(fit.where("not fit"), trees).select("kind", "score", "label").collect()
-    sample.unpersist()
-    chosen.unpersist()
-    thresholds = {}
-    for kind in GENERATORS:
-        rows = sorted(((r.score, r.label) for r in held if r.kind == kind), reverse=True)
-        right = 0
-        for i, (score, label) in enumerate(rows, 1):
-            right += label
-            if right >= precision * i and (i == len(rows) or rows[i][0] < score):
-                thresholds[kind] = score
-    return Boosted(trees, thresholds)
+    thresholds = least_right_scores(scored(fit.where("not fit"), trees).select("kind", "score", "label"), precision)
+    return Boosted(trees, thresholds, *[sum(n for (own, _), n in sizes.items() if own == half) for half in (True, False)])
 
 
 def _reformatted(chosen: DataFrame) -> DataFrame:
@@ -196,7 +186,7 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    found = candidates(rows)
+    found = cut_lineage(candidates(rows))  # found once, for the fit and for the scores
     model = fit_trees(found)
     base = rows.select("doc_id", "row", *[base_spans(F.col("text"), k).alias(f"s_{k}") for k in BASE_PATTERNS])
     kinds = list(BASE_PATTERNS)
