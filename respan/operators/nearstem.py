@@ -17,12 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from respan.functions.text import EditProbe, JaroIndex
+from respan.functions.text import EditBatch, JaroIndex
 from respan.lineage import cut_lineage
 
 CLASSES = 32
 BANK_BLOCK = 1_000  # stems of a block, about
-PROBE_BLOCK = 64  # probes that meet a block together, about
+PROBE_BLOCK = 256  # probes packed together, about: those of them that meet a block are compared at once
 BROADCAST_CHARS = 32_000_000  # bank text up to this size is broadcast
 FIRST_LOOK = 64  # stems compared before the bound of the rest is held against the k-th best
 _RARE = 3  # classes in the signature of a large band
@@ -54,8 +54,12 @@ def with_letters(rows: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
-            letters = pa.array([letter_counts(t).tolist() for t in texts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(t) for t in texts], pa.int32()), letters], [*out, "size", "letters"])
+            sizes = np.array([len(t) for t in texts], np.int32)
+            codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32) % CLASSES
+            counts = np.bincount(np.repeat(np.arange(len(texts)), sizes) * CLASSES + codes, minlength=len(texts) * CLASSES)
+            ends = pa.array(np.arange(len(texts) + 1) * CLASSES, pa.int32())
+            letters = pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes), letters], [*out, "size", "letters"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, f"{ddl}, size int, letters array<int>")
@@ -142,45 +146,62 @@ class _Block:
         self.sizes = np.array([len(t) for t in self.texts])
         self.index: JaroIndex | None = None
 
-    def similarity(self, stem: str, chosen: np.ndarray) -> np.ndarray:
-        """Of the chosen texts, which are not empty."""
-        if 4 * len(chosen) < len(self.texts):
-            return JaroIndex([self.texts[i] for i in chosen]).similarity(stem)
-        if self.index is None:
-            self.index = JaroIndex([t or " " for t in self.texts])
-        return self.index.similarity(stem)[chosen]
+    def best(self, probes: list[tuple[str, float]]) -> Iterator[tuple]:
+        """(probe, QID, domain, stem, similarity, distance) of all that reach a probe's floor and, for the k best, all ties at the border.
 
-    def best(self, stem: str, floor: float) -> Iterator[tuple]:
-        """(QID, domain, stem, similarity, distance) of all that reach ``floor`` and, for the k best, all ties at the border."""
-        ub = _bounds(self.letters, self.sizes, letter_counts(stem), len(stem))
-        order = np.argsort(-ub, kind="stable")
-        order = order[ub[order] >= max(floor - _SLACK, 0)]
-        sims = np.full(len(self.texts), -1.0)
+        ``probes`` are stems with their floors; a probe is named by its place among them.
+        """
+        stems, floors = [stem for stem, _ in probes], np.array([floor for _, floor in probes])
+        sims = np.full((len(stems), len(self.texts)), -1.0)
         look = max(FIRST_LOOK, self.k or 0)
-        first = order if self.k is None or len(order) <= 4 * look else order[:look]
-        floor = self._compare(stem, first, sims, floor)
-        rest = order[len(first) :]
-        floor = self._compare(stem, rest[ub[rest] >= floor - _SLACK], sims, floor)
-        edits = EditProbe(stem)
-        for at in np.flatnonzero(sims >= floor):
-            distance = edits.distance(self.texts[at])
-            for row in self.rows[at]:
-                yield (*row, float(sims[at]), distance)
+        first, rest, bounds = [], [], []
+        every = np.arange(len(self.texts))
+        for stem, floor in probes:
+            if floor <= 0 and (self.k is None or len(every) <= 4 * look):  # no bound rules one out
+                first.append(every)
+                rest.append(every[:0])
+                bounds.append(every)
+                continue
+            ub = _bounds(self.letters, self.sizes, letter_counts(stem), len(stem))
+            order = np.argsort(-ub, kind="stable")
+            order = order[ub[order] >= max(floor - _SLACK, 0)]
+            at = len(order) if self.k is None or len(order) <= 4 * look else look
+            first.append(order[:at])
+            rest.append(order[at:])
+            bounds.append(ub)
+        self._compare(stems, first, sims, floors)
+        rest = [chosen[ub[chosen] >= floor - _SLACK] for chosen, ub, floor in zip(rest, bounds, floors)]
+        self._compare(stems, rest, sims, floors)
+        at, text = np.nonzero(sims >= floors[:, None])
+        distances = EditBatch().distances([(stems[i], self.texts[j]) for i, j in zip(at, text)])
+        for i, j, distance in zip(at.tolist(), text.tolist(), distances):
+            for row in self.rows[j]:
+                yield (i, *row, float(sims[i, j]), distance)
 
     def possible(self, stem: str, floor: float) -> int:
         """Items whose bound reaches ``floor``."""
         ub = _bounds(self.letters, self.sizes, letter_counts(stem), len(stem))
         return sum(len(self.rows[i]) for i in np.flatnonzero(ub >= floor - _SLACK))
 
-    def _compare(self, stem: str, chosen: np.ndarray, sims: np.ndarray, floor: float) -> float:
-        full = chosen[self.sizes[chosen] > 0]
-        sims[chosen] = 0.0  # an empty text is never similar
-        if len(full):
-            sims[full] = self.similarity(stem, full)
-        known = sims[sims >= 0]
-        if self.k is not None and len(known) >= self.k:
-            floor = max(floor, float(np.partition(known, -self.k)[-self.k]))
-        return floor
+    def _compare(self, stems: list[str], chosen: list[np.ndarray], sims: np.ndarray, floors: np.ndarray) -> None:
+        """Fills in the similarities of every stem to the texts chosen for it, and raises its floor to the k-th best known."""
+        dense = []
+        for i, some in enumerate(chosen):
+            sims[i, some] = 0.0  # an empty text is never similar
+            full = some[self.sizes[some] > 0]
+            if len(full) and 4 * len(full) < len(self.texts):
+                sims[i, full] = JaroIndex([self.texts[j] for j in full]).similarity(stems[i])
+            elif len(full):
+                dense.append((i, full))
+        if dense:
+            if self.index is None:
+                self.index = JaroIndex([t or " " for t in self.texts])
+            for (i, full), row in zip(dense, self.index.similarities([stems[i] for i, _ in dense])):
+                sims[i, full] = row[full]
+        for i, some in enumerate(chosen):
+            known = sims[i][sims[i] >= 0]
+            if self.k is not None and len(some) and len(known) >= self.k:
+                floors[i] = max(floors[i], np.partition(known, -self.k)[-self.k])
 
 
 def _search_blocks(k: int | None):
@@ -191,7 +212,9 @@ def _search_blocks(k: int | None):
                 now = batch["block"][row].as_py()
                 if now != held:
                     held, block = now, _Block(batch["items"][row].as_py(), k)
-                out = [(p["domain_key"], p["stem_key"], *hit) for p in batch["probes"][row].as_py() for hit in block.best(p["stem_key"], p["floor"])]
+                probes = batch["probes"][row].as_py()
+                found = block.best([(p["stem_key"], p["floor"]) for p in probes])
+                out = [(probes[i]["domain_key"], probes[i]["stem_key"], *hit) for i, *hit in found]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), _FOUND)], schema=_FOUND)
 
@@ -225,7 +248,8 @@ def _looked_up(met: DataFrame, blocks: DataFrame, n_probes: int, chars: int, run
     packed = met.groupBy("block", batch.alias("batch")).agg(F.collect_list(F.struct("domain_key", "stem_key", "floor")).alias("probes"))
     payload = blocks.select("block", "items")
     if chars <= BROADCAST_CHARS:
-        work = packed.repartition(min(n_batches, 4096), "block", "batch").join(F.broadcast(payload), "block")
+        dealt = packed.repartition(min(n_batches, 4096), "block", "batch").sortWithinPartitions("block")  # a task builds a block once
+        work = dealt.join(F.broadcast(payload), "block")
     else:
         salts = min(n_batches, 256)
         salted = payload.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
