@@ -14,6 +14,7 @@ from respan.lineage import cut_lineage
 from respan.operators.dedupe import answer_lists
 
 LIST = 1024  # classes of one key that a task holds against the others; a longer list is dealt over several tasks
+UNROLLED = 8  # words of a pattern up to which comparisons are written out
 
 
 # ---- equal patterns ------------------------------------------------------
@@ -106,39 +107,65 @@ def pattern_classes(masks: DataFrame, key: str = "global_id") -> tuple[DataFrame
     return masks.join(classes, same).select(key, "class_id"), classes.select("class_id", "n_members", *same)
 
 
+def meeting_keys(own: DataFrame, max_diff: int) -> DataFrame:
+    """(class_id, key): the keys by which similar classes meet, from classes with ``tokens``, the bands' answers.
+
+    Similar patterns share all but max_diff bands of the one with more.  Ordered by rarity, their first max_diff + 3 bands then have
+    three in common if that one has so many, and the triples of those bands are keys.  Classes of max_diff + 2 bands or fewer meet each
+    other by pairs.  A key is a hash; what meets by chance only costs a comparison.  Runs a job.
+    """
+    held = cut_lineage(own.select("class_id", "tokens"))  # read twice: made once
+    often = held.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("times"))  # at most bands * 3^width rows
+    first = held.select("class_id", F.explode("tokens").alias("t")).join(often, "t")
+    ranked = first.groupBy("class_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("times", "t"))), 1, max_diff + 3)["t"].alias("p"))
+
+    def keys(of: int, among: int) -> Column:
+        known = lambda at: F.get("p", F.lit(max(at))).isNotNull()
+        at = combinations(range(among), of)
+        return F.array(*[F.when(known(c), F.xxhash64(F.lit(of), *[F.get("p", F.lit(i)) for i in sorted(c)])) for c in at])
+
+    few = F.when(F.size("p") <= max_diff + 2, keys(2, max_diff + 2)).otherwise(F.array().cast("array<bigint>"))
+    return ranked.select("class_id", F.explode(F.array_distinct(F.concat(keys(3, max_diff + 3), few))).alias("key")).where("key is not null")
+
+
 def similar_classes(classes: DataFrame, n_items: int, word: int, max_diff: int = 2, min_joint: int = 12) -> DataFrame:
     """(a, b, n_joint, n_diff): pairs of classes, a < b, that differ in at most ``max_diff`` items and share ``min_joint``.
 
     An item counts as different if both answered it differently or one alone answered it.  Items are cut into bands of
     min_joint div (max_diff + 2) items, so that a pattern with enough answers has max_diff + 2 bands or more, of which two similar ones
-    share all but max_diff.  Ordered by rarity, their first max_diff + 2 bands then have two in common: the pairs of those
-    bands are the keys by which classes meet.  Long lists are dealt over tasks; in a list lengths and bits decide, so only
-    similar pairs leave it.
+    share all but max_diff.  They meet by the triples or pairs of their rarest bands (``meeting_keys``); what meets nothing is left out
+    before answers are attached.  Long lists are dealt over tasks; in a list lengths and bits decide, so only similar pairs leave it.
     """
     width = max(1, min_joint // (max_diff + 2))
     if width > word or word % width:
         raise ValueError("a band must not cross words")
     own = classes.where(F.col("n") >= min_joint).withColumn("tokens", _tokens(word, width, n_items))
-    often = own.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("times"))  # at most bands * 3^width rows
-    first = own.select("class_id", F.explode("tokens").alias("t")).join(often, "t")
-    ranked = first.groupBy("class_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("times", "t"))), 1, max_diff + 2).alias("p"))
-    keys = [F.struct(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")) for x, y in combinations([F.get("p", F.lit(i))["t"] for i in range(max_diff + 2)], 2)]
-    entries = cut_lineage(ranked.select("class_id", F.explode(F.array(*keys)).alias("k")).where("k.x is not null and k.y is not null").select("class_id", "k.x", "k.y").join(own.select("class_id", "n", "answered", "correct"), "class_id"))
-    lists = entries.groupBy("x", "y").agg(F.count("*").alias("length")).where("length > 1")
+    entries = cut_lineage(meeting_keys(own, max_diff))
+    lists = entries.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
     parts = F.ceil(F.col("length") / LIST).cast("int")
-    held = entries.join(lists.withColumn("parts", parts), ["x", "y"])
+    held = cut_lineage(entries.join(lists.select("key", parts.alias("parts")), "key").join(own.select("class_id", "n", "answered", "correct"), "class_id"))
     left = held.withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")).cast("int")).alias("l")
     right = held.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("r")
     a, b = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
-    joint = _pair(a("answered"), b("answered"), lambda x, y: x.bitwiseAND(y))
-    wrong = _pair(joint, _pair(a("correct"), b("correct"), lambda x, y: x.bitwiseXOR(y)), lambda x, y: x.bitwiseAND(y))
-    n_joint = _bits(joint)
-    n_diff = a("n") + b("n") - 2 * n_joint + _bits(wrong)
-    meets = (a("x") == b("x")) & (a("y") == b("y")) & (a("part") == b("part")) & (a("class_id") < b("class_id")) & (F.abs(a("n") - b("n")) <= max_diff)
+    n_joint, wrong = _joint_and_wrong(a, b, -(-n_items // word))
+    n_diff = a("n") + b("n") - 2 * n_joint + wrong
+    meets = (a("key") == b("key")) & (a("part") == b("part")) & (a("class_id") < b("class_id")) & (F.abs(a("n") - b("n")) <= max_diff)
     found = left.join(right, meets & (n_joint >= min_joint) & (n_diff <= max_diff))
     return found.select(a("class_id").alias("a"), b("class_id").alias("b"), n_joint.alias("n_joint"), n_diff.alias("n_diff")).distinct()
 
 
+def _joint_and_wrong(a, b, words: int) -> tuple[Column, Column]:
+    """Numbers of items that both answered, and that both answered differently; few words are written out, which Spark compiles."""
+    if words > UNROLLED:
+        joint = _pair(a("answered"), b("answered"), lambda x, y: x.bitwiseAND(y))
+        return _bits(joint), _bits(_pair(joint, _pair(a("correct"), b("correct"), lambda x, y: x.bitwiseXOR(y)), lambda x, y: x.bitwiseAND(y)))
+    at = lambda c, i: F.get(c, F.lit(i))
+    joint = [at(a("answered"), i).bitwiseAND(at(b("answered"), i)) for i in range(words)]
+    wrong = [j.bitwiseAND(at(a("correct"), i).bitwiseXOR(at(b("correct"), i))) for i, j in enumerate(joint)]
+    total = lambda masks: sum((F.bit_count(m) for m in masks), F.lit(0))
+    return total(joint), total(wrong)
+
+
 def likely_duplicates(resp: DataFrame, items: list[str], max_diff: int = 2, min_joint: int = 12, key: str = "global_id") -> tuple[DataFrame, DataFrame]:
     """Likely the same person twice, by the answers: membership of every respondent, and links between classes.
 

@@ -59,6 +59,16 @@ def test_similar_patterns_equal_all_pairs(spark, monkeypatch, max_diff, min_join
     assert got == {p: (c, list(classes.values()).count(c), sum(c in pair for pair in want)) for p, c in classes.items()}
 
 
+def test_two_shared_bands_do_not_meet(spark):
+    """Where patterns have bands enough, three must be shared, so that the lists of a large table stay short."""
+    rows = [("a", [1, 2, 3, 4, 5, 6]), ("b", [1, 2, 13, 14, 15, 16]), ("c", [1, 2, 3, 4, 25, 26]), ("d", [1, 2, 7, 8]), ("e", [1, 2, 9, 10])]
+    keys = {}
+    for r in patterns.meeting_keys(spark.createDataFrame(rows, "class_id string, tokens array<bigint>"), 2).collect():
+        keys.setdefault(r.key, set()).add(r.class_id)
+    met = {pair for ids in keys.values() for pair in combinations(sorted(ids), 2)}
+    assert met == {("a", "c"), ("d", "e")}  # those of four bands may differ in two of them
+
+
 def test_no_answers(spark):
     members, links = patterns.likely_duplicates(spark.createDataFrame([], DDL), ["q1", "q2"])
     assert members.isEmpty() and links.isEmpty()
