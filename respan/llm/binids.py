@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from respan.llm.pieces import read_model
-from respan.llm.rangecoder import BLOCK_IDS, LANES, decode_blocks, encode_blocks
+from respan.llm.rangecoder import BLOCK_IDS, ID_LIMIT
+from respan.llm.tokenids import coded, decoded, tables, token_ids
 
-_GROUP = BLOCK_IDS * LANES  # ids gathered in a task before they are coded
+_GROUP = 64  # blocks that are handed on at a time
 
 
 class ChecksumError(ValueError):
@@ -70,11 +71,14 @@ class _Shard:
             self.ids, self.docs, self.size = [], [], 0
 
     def rows(self) -> list[dict]:
+        """The closed blocks; their payload is yet to be coded."""
         blocks, self.closed = self.closed, []
         out = []
-        for (ids, docs), payload in zip(blocks, encode_blocks([b[0] for b in blocks])):
+        for ids, docs in blocks:
+            if ids.min() < 0 or ids.max() >= ID_LIMIT:
+                raise ValueError(f"ids must lie in 0 to {ID_LIMIT - 1}")
             crc = zlib.crc32(ids.astype("<u4").tobytes())
-            out.append({"shard": self.shard, "block": self.block, "n_ids": len(ids), "crc32": crc, "payload": payload, "docs": docs})
+            out.append({"shard": self.shard, "block": self.block, "n_ids": len(ids), "crc32": crc, "payload": ids.astype("<u2").tobytes(), "docs": docs})
             self.block += 1
         return out
 
@@ -83,21 +87,29 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0,
     """Encodes whole texts and writes the ids, ``end_id`` after each document, in ascending order of ``key``.
 
     A null text counts as empty; a null key comes last; rows with equal keys are ordered by text.  An
-    empty table gives an empty file.
+    empty table gives an empty file.  Plain byte-level BPE is encoded by ``tokenids``, any other tokenizer by its library.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(read_model(spark, tokenizer_path))
+    model = read_model(spark, tokenizer_path)
+    held = tables(model)
+    library = held is None
+    shared = spark.sparkContext.broadcast(model if library else None)
     kind = docs.schema[key].dataType
     schema = _block_schema(kind)
     arrow = pa.schema([*((c, pa.int64()) for c in ("shard", "block", "n_ids", "crc32")), ("payload", pa.binary())])
 
-    def run(batches):
+    def by_library():
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer, shard, waiting, docs_type = Tokenizer.from_str(model.value.decode()), None, 0, None
+        tokenizer = Tokenizer.from_str(shared.value.decode())
+        return lambda texts: [e.ids for e in tokenizer.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+    def run(batches):
+        encode = by_library() if library else lambda ids: [np.frombuffer(x, "<u2") for x in ids]
+        shard, docs_type = None, None
 
         def flush():
             rows = shard.rows()
@@ -110,19 +122,15 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0,
                 docs_type = pa.list_(pa.struct([("id", batch.schema.field("k").type), *((c, long) for c in ("ordinal", "offset", "part", "parts", "n"))]))
             for a in range(0, batch.num_rows, 256):
                 rows = batch.slice(a, 256).to_pydict()
-                coded = tokenizer.encode_batch([x or "" for x in rows["t"]], add_special_tokens=False)
-                for number, k, e in zip(rows["shard"], rows["k"], coded):
+                for number, k, ids in zip(rows["shard"], rows["k"], encode(rows["t"])):
                     if shard is None or shard.shard != number:
                         if shard is not None:
                             shard.close()
                             yield flush()
-                        shard, waiting = _Shard(number), 0
-                    ids = np.array([*e.ids, end_id], np.int64)
-                    shard.add(k, ids)
-                    waiting += len(ids)
-                    if waiting >= _GROUP:
+                        shard = _Shard(number)
+                    shard.add(k, np.append(np.asarray(ids, np.int64), end_id))
+                    if len(shard.closed) >= _GROUP:
                         yield flush()
-                        waiting = 0
         if shard is not None:
             shard.close()
             yield flush()
@@ -132,9 +140,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0,
         docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
         .repartitionByRange(n, F.col("k").asc_nulls_last())
         .sortWithinPartitions(F.col("k").asc_nulls_last(), F.col("t").asc_nulls_first())
-        .select("k", "t", F.spark_partition_id().cast("long").alias("shard"))
+        .select("k", "t" if library else token_ids(spark, held, F.col("t")).alias("t"), F.spark_partition_id().cast("long").alias("shard"))
     )
-    ordered.mapInArrow(run, schema).write.mode("overwrite").parquet(path)
+    blocks = ordered.mapInArrow(run, schema)
+    blocks.withColumn("payload", coded(spark, F.col("payload"))).write.mode("overwrite").parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -148,12 +157,12 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, LANES):
-                some = batch.slice(a, LANES)
+            for a in range(0, batch.num_rows, _GROUP):
+                some = batch.slice(a, _GROUP)
                 rows = some.to_pydict()
                 out = []
-                for i, ids in enumerate(decode_blocks(rows["payload"], rows["n_ids"])):
-                    data = ids.astype("<u4").tobytes()
+                for i, ids in enumerate(rows["payload"]):
+                    data = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                     if zlib.crc32(data) != rows["crc32"][i]:
                         raise ChecksumError(f"shard {rows['shard'][i]}, block {rows['block'][i]}")
                     at = 0
@@ -164,7 +173,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
                 types = [pa.int64(), some.schema.field("docs").type.value_type.field("id").type, *[pa.int64()] * 6, pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], schema.names)
 
-    return table.select("shard", "block", "n_ids", "crc32", "payload", "docs").mapInArrow(run, schema)
+    ids = decoded(spark, F.col("payload"), F.col("n_ids")).alias("payload")
+    return table.select("shard", "block", "n_ids", "crc32", ids, "docs").mapInArrow(run, schema)
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:

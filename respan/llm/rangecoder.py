@@ -6,6 +6,9 @@ ids so far, in four 4-bit steps.  Whether the order-2 prediction is right is cod
 mixes (in the logistic domain, with weights learned on the way) what its own confidence, the order-1
 confidence and the block's hit rate say; then whether the order-1 prediction is right; then the id itself.
 All arithmetic is on integers, so a block reads the same on every machine.
+
+This is the plain version, for reading blocks without Spark and for tests; columns of blocks are coded by
+``TokenIds.java``, which gives the same bytes.
 """
 
 from __future__ import annotations

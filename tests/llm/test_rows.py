@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -250,3 +251,40 @@ def test_range_coder():
     assert len(coded[5]) < 0.05 * 2 * len(blocks[5])
     with pytest.raises(ValueError):
         encode_blocks([np.array([65536])])
+
+
+def test_token_ids_equal_the_library(spark, tmp_path):
+    """Odd characters, long words and added tokens, with tokenizers that are encoded here and by the library."""
+    import json
+    from tokenizers import Tokenizer
+    from respan.llm.binids import read_ids, write_ids
+    from respan.llm.tokenids import tables
+
+    rng = np.random.default_rng(2)
+    pool = [*" \n\t'aZ1!", "  ", " the", "'s", "'re", "'ll", "<|endoftext|>", "<|endof", "\xa0", "\u3000", "\u2003", "\x85", "\x1c", "\x00", "é", "ß", "中文", "٣", "½", "Ⅷ", "😀", "\u200b", "\u0301", "ि", "\U0001d504", "\U0010ffff"]
+    texts = ["".join(rng.choice(pool, n)) for n in rng.integers(0, 40, 2000)]
+    texts += ["".join(map(chr, rng.choice([*range(0xD800), *range(0xE000, 0x33000)], 50))) for _ in range(500)]
+    texts += ["".join(rng.choice([*"etaoinshr"], n)) for n in (39, 40, 41, 200, 30000)] + ["ab" * 20000, "a" * 3000, "中" * 3000, "", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    plain = json.loads(Path(public_tokenizers.path("byte_bpe_50k.json")).read_text())
+    for i, (change, here) in enumerate([({}, True), ({"pre_tokenizer": plain["pre_tokenizer"] | {"add_prefix_space": True}}, False), ({"normalizer": {"type": "NFC"}}, False)]):
+        model = json.dumps(plain | change)
+        (tmp_path / f"{i}.json").write_text(model)
+        assert (tables(model.encode()) is not None) == here
+        write_ids(docs, str(tmp_path / f"ids{i}"), str(tmp_path / f"{i}.json"), shards=2)
+        got = {r.doc_id: r.ids for r in read_ids(spark, str(tmp_path / f"ids{i}")).collect()}
+        coded = Tokenizer.from_str(model).encode_batch([t or "" for t in texts], add_special_tokens=False)
+        assert [got[k] for k in range(len(texts))] == [[*e.ids, 0] for e in coded]
+
+
+def test_coders_are_equal(spark):
+    """Blocks in columns get the bytes of the plain version and are read back."""
+    from respan.llm.rangecoder import encode_blocks
+    from respan.llm.tokenids import coded, decoded
+
+    rng = np.random.default_rng(3)
+    blocks = [np.zeros(0, int), np.array([65535]), rng.integers(0, 65536, 4096), np.zeros(4096, int), np.tile(rng.integers(0, 50000, 37), 100), *(rng.zipf(1.2, n) % 50257 for n in (2, 100, 4095, 4096))]
+    rows = spark.createDataFrame([(i, bytearray(b.astype("<u2").tobytes()), len(b)) for i, b in enumerate(blocks)], "i int, ids binary, n long")
+    rows = rows.withColumn("coded", coded(spark, F.col("ids"))).withColumn("read", decoded(spark, F.col("coded"), F.col("n"))).orderBy("i").collect()
+    assert [bytes(r.coded) for r in rows] == encode_blocks(blocks)
+    assert all(r.read == r.ids for r in rows)
