@@ -204,3 +204,46 @@ def test_stages_on_odd_rows(spark):
     ids = after("SentencePiece encoding and decoding", docs)
     assert len(ids) == len(rows) + 1 and all(len(r.ids) == 2 and r.decoded == "" for r in ids if r.doc_id in (1, 2))
     assert {r.decoded for r in ids if r.doc_id == 3} == {good}
+
+
+def test_jaccard_classes_enter_lists_once(spark, table, monkeypatch):
+    """Copies of a text in other tasks add nothing to the lists."""
+    from respan.llm import jaccard
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(30)]
+    entered, enter = [], jaccard._enter_lists
+
+    def noted(*args):
+        entered.append(enter(*args))
+        return entered[-1]
+
+    monkeypatch.setattr(jaccard, "_enter_lists", noted)
+    rows = jaccard.jaccard_components(table([(30 * c + i, t) for c in range(20) for i, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.class_id, r.component_id) for r in rows} == {(d, d % 30, d % 30) for d in range(600)}
+    assert entered[0].select("doc").distinct().count() < 40
+
+
+def test_jaccard_lists_are_read_alike_in_any_batches(spark):
+    """Short, long and dealt lists that lie inside a batch, and such as go over many."""
+    from respan.llm.jaccard import SHORT, _merge_lists
+
+    rng = random.Random(4)
+    rows, want = [], set()
+    for key in range(-100, 100):
+        hash_, docs = key + 1000 * (key % 3 == 0), sorted({rng.randrange(50) for _ in range(rng.choice([1, 1, 2, 3, SHORT, SHORT + 1, 20]))})
+        rows += [(key, hash_, d, 100 * key + d) for d in docs]
+        if len(docs) <= SHORT:
+            want |= {(0, a, b, None) for a in docs for b in docs if a < b}
+        else:
+            want |= {(0, docs[0], b, None) for b in docs[1:]}
+        if key != hash_:
+            want.add((1, hash_, docs[0], 100 * key + docs[0]))
+        if key != hash_ or len(docs) > SHORT:
+            want |= {(2, hash_, d, 100 * key + d) for d in docs}
+    lists = spark.createDataFrame(rows + rows[::5], "key long, hash long, doc long, place long")
+    try:
+        for size in ("1", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert {tuple(r) for r in _merge_lists(lists).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
